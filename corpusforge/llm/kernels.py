@@ -12,7 +12,7 @@ U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Bytes of text that one vectorised step takes on; a longer text is a step of its own.
-STEP = 1 << 22
+STEP = 1 << 21
 
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
