@@ -27,6 +27,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The whole rows as one struct ``__row__``, so that no column of theirs can clash with one of ours."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row__"))
+
+
+def unpacked(df: DataFrame, **new: Column) -> DataFrame:
+    """The rows that ``packed`` took, some columns replaced."""
+    return df.select(*[new.get(c, F.col(f"__row__.`{c}`")).alias(c) for c in df.schema["__row__"].dataType.names])
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
@@ -55,12 +65,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def lean_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python workers in batches of at most ``rows``, so that workers stay small.
+
+    The setting is read when a query is planned, which is after an operator returns; so it stays.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, rows)
+
+
 class Scratch:
     """Intermediate tables as Parquet in the shared folder, each dropped as soon as its reader is done."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+        lean_batches(spark)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"

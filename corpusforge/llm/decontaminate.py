@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.llm.common import ascii_lower, cut, let, small, words
+from corpusforge.llm.common import ascii_lower, cut, let, packed, small, unpacked, words
 
 SHINGLE = 5
 THRESHOLD = 0.75
@@ -80,5 +80,5 @@ def find_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRE
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns."""
     bad = small(cut(find_contaminated(docs, items, threshold).select("_doc").distinct()))
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    return keyed.join(bad, F.col("_key") == F.col("_doc"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = packed(docs).withColumn("_key", F.xxhash64("__row__.doc_id", "__row__.text"))
+    return unpacked(keyed.join(bad, F.col("_key") == F.col("_doc"), "left_anti"))

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusforge.llm.common import bucket_digits, cut, let, small, words
+from corpusforge.llm.common import bucket_digits, cut, packed, small, unpacked, words
 
 
 @dataclass(frozen=True)
@@ -108,7 +108,9 @@ def plan_mix(docs: DataFrame, config: MixConfig = MixConfig(), wide: bool = Fals
     any share of the rows, so streams are summed within digest buckets of bounded size and the buckets' totals give
     offsets. Equal rows (same doc_id and text) are interchangeable.
     """
-    sized = docs.select(*([F.col(f"`{c}`") for c in docs.columns] if wide else ["doc_id", "source"]), F.size(words(F.col("text"))).cast("long").alias("_size"), F.xxhash64("doc_id", "text").alias("_key"))
+    rows = packed(docs)
+    row = {c: F.col(f"__row__.{c}") for c in ("doc_id", "source", "text")}
+    sized = rows.select(*["__row__"] * wide, row["doc_id"].alias("doc_id"), row["source"].alias("source"), F.size(words(row["text"])).cast("long").alias("_size"), F.xxhash64(row["doc_id"], row["text"]).alias("_key"))
     sized = sized.withColumn("_order", _order(F.col("doc_id"), config.seed))
     narrow = cut(sized.select("source", "_size", "_order") if wide else sized)
     sources = cut(quotas(targets(narrow.groupBy("source").agg(F.sum("_size").alias("source_size")), config), config))
@@ -159,11 +161,10 @@ def mix_documents(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame
         block = _div(F.col("_offset") + i, F.lit(b))
         return chosen_before(block + 1, F.col("_blocks"), F.col("_extra")) > chosen_before(block, F.col("_blocks"), F.col("_extra"))
 
-    some = F.array_join(F.filter(words(F.col("text")), lambda w, i: picked(i)), " ")
+    text = F.col("__row__.text")
+    some = F.array_join(F.filter(words(text), lambda w, i: picked(i)), " ")
     n_extra = extra_words(F.col("_size"), F.col("_offset"), F.col("_blocks"), F.col("_extra"), b)
-    whole = F.when(F.col("_size") > 0, F.array_repeat(F.col("text"), F.col("_passes").cast("int"))).otherwise(F.array())
-    part = F.when(n_extra == F.col("_size"), F.array(F.col("text"))).otherwise(F.array(some))
+    whole = F.when(F.col("_size") > 0, F.array_repeat(text, F.col("_passes").cast("int"))).otherwise(F.array())
+    part = F.when(n_extra == F.col("_size"), F.array(text)).otherwise(F.array(some))
     texts = F.concat(whole, F.when((n_extra > 0) & (F.col("_size") > 0), part).otherwise(F.array()))
-    out = x.withColumn("_text", F.explode(texts))
-    new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
-    return out.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    return unpacked(x.withColumn("_text", F.explode(texts)), text=F.col("_text"), n_chars=F.length("_text").cast("long"))

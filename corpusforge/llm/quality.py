@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.llm.common import BLANKS, cut, let, small, words
+from corpusforge.llm.common import BLANKS, cut, let, packed, small, unpacked, words
 
 SYMBOLS = "#*$%&|<>"
 
@@ -128,5 +128,5 @@ def score_documents(docs: DataFrame, config: QualityConfig = QualityConfig()) ->
 
 def keep_documents(docs: DataFrame, config: QualityConfig = QualityConfig()) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
-    measured = measure(docs, "text", config)
-    return judge(measured, "source", config).where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    measured = measure(packed(docs), "__row__.text", config)
+    return unpacked(judge(measured, "__row__.source", config).where("_kept"))
