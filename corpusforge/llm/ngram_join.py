@@ -3,8 +3,12 @@
 1. Documents with equal shingle sets form classes; one member stands for each.
 2. A document at Jaccard ``t`` with another shares at least ``ceil(t * size)`` of its shingles, so it shares one of
    any ``size - ceil(t * size) + 1`` of them. Taking these first in one global order, frequent shingles last and the
-   rest by hash, puts every pair that can link into a common bucket. Buckets are only used to find the independent
-   diagonal blocks of the product: classes that a chain of buckets connects.
+   rest by hash, puts every pair that can link into a common bucket. How many buckets two classes share bounds their
+   overlap from above; pairs below the bound that their sizes ask for are discarded. First, classes are only counted
+   against the least class of each bucket, and those that share half of what is asked for make up provisional
+   diagonal blocks of the product. Then the pairs across these blocks, few by now, are counted in full, and those at
+   the bound join their blocks; the blocks that meet in a bucket too large for that are joined without counting.
+   No pair that can link is left outside of a block.
 3. A block too large for one task is dealt into sub-blocks, and each pair of these is a unit of its own.
 4. Within a unit, the overlap counts of a row with all others accumulate over its n-gram columns, rarest first. Rows
    below the size bounds, or that share none of the columns that must be shared, are discarded; exact counts decide
@@ -31,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.llm.common import Scratch, cut
+from corpusforge.llm.common import Scratch, cut, packed, release, unpacked, words
 from corpusforge.llm.components import components
 from corpusforge.llm.kernels import U, bounds, grouped, mix, shingle_sets, signed
 
@@ -41,9 +45,11 @@ class JoinConfig:
     n: int = 5
     percent: int = 75
     #: Shingles that occur this often within one input split are candidates for the end of the order.
-    frequent_in_split: int = 4
+    frequent_in_split: int = 2
     #: Length of the list of frequent shingles, the most frequent first; it is broadcast.
     frequent_list: int = 200_000
+    #: Seats of a bucket up to which its pairs across blocks are counted one by one.
+    pair_bucket: int = 64
     #: Shingles (with repeats across documents) that one unit of the product holds.
     unit_shingles: int = 2_000_000
 
@@ -95,7 +101,7 @@ def _frequent(batches: Iterator[pa.RecordBatch], c: JoinConfig) -> Iterator[pa.R
 def _buckets(batches: Iterator[pa.RecordBatch], c: JoinConfig, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()
     for b in batches:
-        hs, ks = [], []
+        hs, ks, ns = [], [], []
         for s in shingle_sets(b.column("text").to_pylist(), c.n):
             k = int(mix(s, 1).sum(dtype=U))
             if len(s) and k not in seen:
@@ -103,10 +109,58 @@ def _buckets(batches: Iterator[pa.RecordBatch], c: JoinConfig, frequent: np.ndar
                     seen.add(k)
                 hs.append(_first(s, c, frequent))
                 ks.append(np.full(len(hs[-1]), k, dtype=U))
+                ns.append(np.full(len(hs[-1]), len(s), dtype=np.int32))
         if hs:
-            h, k = np.concatenate(hs), np.concatenate(ks)
+            h, k, n = np.concatenate(hs), np.concatenate(ks), np.concatenate(ns)
             for i in range(0, len(h), 100_000):
-                yield pa.RecordBatch.from_arrays([signed(h[i : i + 100_000]), signed(k[i : i + 100_000])], names=["h", "k1"])
+                yield pa.RecordBatch.from_arrays([signed(h[i : i + 100_000]), signed(k[i : i + 100_000]), pa.array(n[i : i + 100_000])], names=["h", "k1", "n"])
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of seats sorted by bucket and class, those in buckets of several classes, once, with the bucket's first class."""
+    held = last = first = None
+
+    def pick(m: np.ndarray, after: int | None) -> pa.RecordBatch:
+        nonlocal first, last
+        prev = np.concatenate([m[:, :1] if last is None else last[:, None], m[:, :-1]], axis=1)
+        new = m[0] != prev[0]
+        if last is None:
+            new[0] = True
+        at = np.maximum.accumulate(np.where(new, np.arange(m.shape[1]), -1))
+        head = m[:, np.maximum(at, 0)]
+        if first is not None:
+            head[:, at < 0] = first[:, None]
+        again = (m[1] == prev[1]) & ~new
+        fore = np.append(m[0, 1:] == m[0, :-1], after is not None and m[0, -1] == after)
+        # A bucket's first class goes along if a row of the same bucket follows; alone, it adds nothing later.
+        use = ~again & ((m[1] != head[1]) | fore)
+        first, last = head[:, -1].copy(), m[:, -1].copy()
+        x, y = m[:, use], head[:, use]
+        return pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(x[1]), pa.array(x[2].astype(np.int32)), pa.array(y[1]), pa.array(y[2].astype(np.int32))], names=["h", "k1", "n", "hub", "hub_n"])
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        m = np.stack([b.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("h", "k1", "n")])
+        if held is not None:
+            yield pick(held, int(m[0, 0]))
+        held = m
+    if held is not None:
+        yield pick(held, None)
+
+
+def _asked(a: str, b: str, percent: int):
+    """Buckets that two classes of these sizes share at least if they link.
+
+    Common shingles up to the earlier of the two last ones are in both selections; after it, the document that ends
+    there has ``ceil(t * size) - 1`` left.
+    """
+    both = F.ceil((F.col(a) + F.col(b)) * percent / (100 + percent) - 1e-9)
+    return F.greatest(both - F.ceil(F.greatest(F.col(a), F.col(b)) * percent / 100 - 1e-9) + 1, F.lit(1))
+
+
+def _alike(a: str, b: str, percent: int):
+    return 100 * F.least(F.col(a), F.col(b)) >= percent * F.greatest(F.col(a), F.col(b))
 
 
 def unit_links(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -210,12 +264,25 @@ def link_documents(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFr
     often = often.orderBy(F.desc("n"), "h").limit(c.frequent_list).select("h").toArrow().column("h").to_numpy()
     frequent = spark.sparkContext.broadcast(np.sort(often.view(U)))
 
-    seats = only.mapInArrow(lambda it: _buckets(it, c, frequent.value), "h long, k1 long")
-    # The least class of a bucket stands for it; a bucket of one class connects nothing.
-    seats = tmp.keep(seats, "seats")
-    hubs = tmp.keep(seats.groupBy("h").agg(F.min("k1").alias("hub"), F.max("k1").alias("top")).where("hub <> top").select("h", "hub"), "hubs")
-    edges = tmp.keep(seats.join(hubs, "h").where("k1 <> hub").select(F.col("k1").alias("u"), F.col("hub").alias("v")).distinct(), "edges")
-    tmp.drop("seats", "hubs")
+    seats = only.mapInArrow(lambda it: _buckets(it, c, frequent.value), "h long, k1 long, n int")
+    shared = seats.repartition("h").sortWithinPartitions("h", "k1").mapInArrow(_shared, "h long, k1 long, n int, hub long, hub_n int")
+    shared = tmp.keep(shared, "shared")
+    release(spark)
+    to_hub = shared.where((F.col("k1") != F.col("hub")) & _alike("n", "hub_n", c.percent)).groupBy(F.col("k1").alias("u"), F.col("hub").alias("v"), "n", "hub_n").agg(F.count(F.lit(1)).alias("k"))
+    near = tmp.keep(to_hub.where(2 * F.col("k") >= _asked("n", "hub_n", c.percent)).select("u", "v"), "near")
+    rough = cut(components(near))
+
+    own = shared.select("h", "k1", "n").join(rough.withColumnsRenamed({"node": "k1", "label": "g"}), "k1", "left").withColumn("g", F.coalesce("g", "k1"))
+    own = tmp.keep(own, "own")
+    tmp.drop("shared")
+    across = tmp.keep(own.groupBy("h").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi").select("h", "lo", "m"), "across")
+    crowded = own.join(across.where(F.col("m") > c.pair_bucket).select("h", "lo"), "h").select(F.col("g").alias("u"), F.col("lo").alias("v")).where("u <> v").distinct()
+    mixed = tmp.keep(own.join(across.where(F.col("m") <= c.pair_bucket).select("h"), "h", "left_semi"), "mixed")
+    x, y = mixed.select("h", F.col("k1").alias("u"), F.col("n").alias("un"), F.col("g").alias("ug")), mixed.select(F.col("h").alias("yh"), F.col("k1").alias("v"), F.col("n").alias("vn"), F.col("g").alias("vg"))
+    met = x.join(y, (F.col("h") == F.col("yh")) & (F.col("u") < F.col("v")) & (F.col("ug") != F.col("vg")) & _alike("un", "vn", c.percent))
+    pairs = met.groupBy("u", "v", "un", "vn").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= _asked("un", "vn", c.percent)).select("u", "v")
+    edges = tmp.keep(pairs.unionByName(crowded).unionByName(rough.select(F.col("node").alias("u"), F.col("label").alias("v"))), "edges")
+    tmp.drop("own", "across", "mixed", "near")
     blocks = cut(components(edges).select(F.col("node").alias("k1"), F.col("label").alias("_g")))
     tmp.drop("edges")
 
@@ -246,7 +313,6 @@ def keep_one(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFrame:
     linked = cut(link_documents(docs, config))
     chosen = linked.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("r"))
     stay = cut(chosen.select(F.col("r._row").alias("_stay")).unionByName(linked.where("n_shingles = 0").select(F.col("_row").alias("_stay"))).distinct())
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text")).join(stay, F.col("_row") == F.col("_stay"), "left_semi")
-    wordless = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), "")) == 0
-    cols = [F.col(f"`{x}`") for x in docs.columns]
-    return keyed.where(~wordless).dropDuplicates(["_row"]).select(*cols).unionByName(keyed.where(wordless).select(*cols))
+    keyed = packed(docs).withColumn("_row", F.xxhash64("__row__.doc_id", "__row__.text")).join(stay, F.col("_row") == F.col("_stay"), "left_semi")
+    wordless = F.size(words(F.col("__row__.text"))) == 0
+    return unpacked(keyed.where(~wordless).dropDuplicates(["_row"])).unionByName(unpacked(keyed.where(wordless)))
