@@ -12,7 +12,7 @@ U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Bytes of text that one vectorised step takes on; a longer text is a step of its own.
-STEP = 1 << 21
+STEP = 1 << 20
 
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
@@ -29,7 +29,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``BASE**(i+1)`` and its inverse modulo 2**64, for at least ``n`` values of i."""
-    size = STEP * 2
+    size = STEP + (1 << 16)
     while size < n:
         size *= 2
     return _powers(size)

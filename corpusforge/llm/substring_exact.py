@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusforge.llm.common import Scratch, cut
+from corpusforge.llm.common import Scratch, cut, release
 from corpusforge.llm.kernels import U, mix, prefix_hash, signed, slice_hash, steps
 from corpusforge.llm.suffixes import suffix_ranks
 
@@ -39,7 +39,7 @@ class RepeatConfig:
     #: One place in so many is an anchor, about.
     spacing: int = 48
     #: Bytes of per-text results that may be broadcast; beyond, texts are shuffled to them.
-    broadcast_bytes: int = 48_000_000
+    broadcast_bytes: int = 64_000_000
 
 
 class Parsed:
@@ -74,7 +74,7 @@ class Parsed:
 
 
 def _phrases(batches: Iterator[pa.RecordBatch], c: RepeatConfig) -> Iterator[pa.RecordBatch]:
-    names = ["name", "sid", "k", "need", "head", "at", "next"]
+    names = ["name", "sid", "k", "need", "head", "at", "next", "before", "beyond"]
     for b in batches:
         sid = b.column("sid").to_numpy(zero_copy_only=False)
         for first, run in steps(b.column("text").to_pylist()):
@@ -89,11 +89,13 @@ def _phrases(batches: Iterator[pa.RecordBatch], c: RepeatConfig) -> Iterator[pa.
                 full = k + need <= len(s)
                 head = p.names(s, e[np.minimum(k + need, len(s)) - 1])
                 head[~full] = 0
-                for col, v in zip(out, (p.names(s, e), np.full(len(s), sid[first + i]), k, np.where(full, need, 1 << 30), head, s - p.start[i], e - c.context - p.start[i]), strict=True):
+                s0, e0 = s - p.start[i], e - p.start[i]
+                before, beyond = np.concatenate([[0], s0[:-1]]), np.concatenate([e0[1:], [len(run[i])]])
+                for col, v in zip(out, (p.names(s, e), np.full(len(s), sid[first + i]), k, np.where(full, need, 1 << 30), head, s0, e0 - c.context, before, beyond), strict=True):
                     col.append(v)
             if out[0]:
                 cols = [np.concatenate(v) for v in out]
-                arrays = [signed(cols[0]), pa.array(cols[1]), pa.array(cols[2].astype(np.int32)), pa.array(cols[3].astype(np.int32)), signed(cols[4]), pa.array(cols[5].astype(np.int32)), pa.array(cols[6].astype(np.int32))]
+                arrays = [signed(cols[0]), pa.array(cols[1]), *(pa.array(x.astype(np.int32)) for x in cols[2:4]), signed(cols[4]), *(pa.array(x.astype(np.int32)) for x in cols[5:])]
                 whole = pa.RecordBatch.from_arrays(arrays, names=names)
                 for j in range(0, whole.num_rows, 100_000):
                     yield whole.slice(j, 100_000)
@@ -123,6 +125,48 @@ def _adjacent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield mark(held, last, None)
 
 
+def _open_places(s: np.ndarray, e: np.ndarray, live: np.ndarray, size: int, length: int) -> np.ndarray:
+    """Places where a string may start all of whose phrases occur again, or that has no phrase inside.
+
+    Around each run of live phrases, such strings lie between the start of the phrase before and the end of the one
+    after; strings without a phrase lie between one phrase's start and the next one's end.
+    """
+    froms = np.concatenate([[0], s])  # of the phrase before phrase k
+    tos = np.concatenate([e, [size]])  # of phrase k, and the text
+    void = np.flatnonzero(tos - froms > length)
+    edge = np.diff(live.astype(np.int8), prepend=0, append=0)
+    first, after = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    lo, hi = np.concatenate([froms[void], froms[first]]), np.concatenate([tos[void], tos[after]])
+    wide = hi - lo >= length
+    d = np.zeros(max(size - length + 2, 1), dtype=np.int32)
+    np.add.at(d, lo[wide], 1)
+    np.add.at(d, hi[wide] - length + 1, -1)
+    return np.flatnonzero(np.cumsum(d)[: size - length + 1] > 0)
+
+
+def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places (not groups' strings) whose hash has another row next to it in a sorted partition."""
+    held = last = None
+
+    def pick(b: pa.RecordBatch, before, after):
+        h = b.column("h").to_numpy()
+        same = h[1:] == h[:-1]
+        hit = np.concatenate([[before is not None and before == h[0]], same]) | np.concatenate([same, [after is not None and after == h[-1]]])
+        hit &= b.column("at").to_numpy() >= 0
+        at = b.column("at").to_numpy()[hit]
+        return pa.RecordBatch.from_arrays([pa.array(b.column("sid").to_numpy()[hit]), pa.array(at), pa.array(at + np.int32(1))], names=["sid", "at", "next"])
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        if held is not None:
+            yield pick(held, last, b.column("h")[0].as_py())
+            last = held.column("h")[-1].as_py()
+        held = b
+    if held is not None:
+        yield pick(held, last, None)
+
+
 def _strings(batches: Iterator[pa.RecordBatch], c: RepeatConfig) -> Iterator[pa.RecordBatch]:
     """Hashes of the strings that prefixes could not settle, by place, and of those that groups stand for.
 
@@ -145,14 +189,16 @@ def _strings(batches: Iterator[pa.RecordBatch], c: RepeatConfig) -> Iterator[pa.
                 state = np.full(len(s), -1, dtype=np.int64)  # -1: occurs once
                 if lives[first + i].is_valid:
                     state[lives[first + i].values.to_numpy()] = states[first + i].values.to_numpy()
-                w = np.arange(n)
+                w = _open_places(s, e, state >= 0, len(run[i]), c.length)
+                if not len(w):
+                    continue
                 lo = np.searchsorted(s, w)  # the phrases inside the string are lo to hi - 1
                 hi = np.searchsorted(e, w + c.length, side="right")
                 dead = np.concatenate([[0], np.cumsum(state < 0)])
                 hi = np.maximum(hi, lo)
                 open_ = dead[hi] == dead[lo]
                 own = np.searchsorted(s, w, side="right") - 1  # the phrase in which the string starts, if any
-                inside = (own >= 0) & (w < (e - c.context)[np.maximum(own, 0)]) if len(s) else np.zeros(n, dtype=bool)
+                inside = (own >= 0) & (w < (e - c.context)[np.maximum(own, 0)]) if len(s) else np.zeros(len(w), dtype=bool)
                 status = np.where(inside, state[np.maximum(own, 0)] if len(s) else 0, 0)
                 for want, known in ((open_ & (status <= 0), True), (open_ & (status == 1), False)):
                     w1 = w[want]
@@ -166,6 +212,25 @@ def _strings(batches: Iterator[pa.RecordBatch], c: RepeatConfig) -> Iterator[pa.
                     yield pa.RecordBatch.from_arrays([signed(h[j : j + 100_000]), pa.array(d[j : j + 100_000]), pa.array(a[j : j + 100_000])], names=["h", "sid", "at"])
 
 
+def _join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's ranges of places, merged into runs."""
+
+    def lists(parts: list[np.ndarray]) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(x) for x in parts]), pa.int32()), pa.array(np.concatenate(parts), pa.int32()))
+
+    for b in batches:
+        froms, tos = [], []
+        for x, y in zip(b.column("_from"), b.column("_to"), strict=True):
+            s, e = x.values.to_numpy(), y.values.to_numpy()
+            order = np.argsort(s, kind="stable")
+            s, e = s[order], np.maximum.accumulate(e[order])
+            start = np.concatenate([[0], np.flatnonzero(s[1:] > e[:-1]) + 1])
+            froms.append(s[start])
+            tos.append(e[np.append(start[1:], len(s)) - 1])
+        if froms:
+            yield pa.RecordBatch.from_arrays([b.column("_sid"), lists(froms), lists(tos)], names=["_sid", "_from", "_to"])
+
+
 def _remove(batches: Iterator[pa.RecordBatch], c: RepeatConfig, with_text: bool) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = b.column("text").to_pylist()
@@ -214,15 +279,17 @@ def remove_repeats(docs: DataFrame, config: RepeatConfig = RepeatConfig(), with_
     texts = docs.select("doc_id", "text", F.xxhash64(F.octet_length("text"), F.col("text")).alias("sid"))
     copies = cut(texts.groupBy("sid").agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1"))
 
-    phrases = texts.select("sid", "text").mapInArrow(lambda it: _phrases(it, c), "name long, sid long, k int, need int, head long, at int, next int")
-    again = phrases.repartition("name").dropDuplicates(["name", "sid", "k"])  # a copy's phrases count once
-    live = again.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("name"))).where("n > 1").drop("n")
-    live = tmp.keep(live, "live")
-
+    live = texts.select("sid", "text").mapInArrow(lambda it: _phrases(it, c), "name long, sid long, k int, need int, head long, at int, next int, before int, beyond int")
+    live = live.repartition("name").dropDuplicates(["name", "sid", "k"])  # a copy's phrases count once
+    live = live.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("name"))).where("n > 1").drop("n")
+    # A run of live phrases with the phrases before and after it must have room for a string.
     run = Window.partitionBy("sid").orderBy("k")
     of_run = Window.partitionBy("sid", "lane")
-    runs = live.withColumn("lane", (F.col("k") - F.row_number().over(run) + 1).cast("long"))
-    runs = runs.withColumn("whole", F.col("need") <= F.max("k").over(of_run) - F.col("k") + 1)
+    live = live.withColumn("lane", (F.col("k") - F.row_number().over(run) + 1).cast("long"))
+    live = live.withColumn("room", F.max("beyond").over(of_run) - F.min("before").over(of_run)).where(F.col("room") >= c.length).drop("room", "before", "beyond")
+    live = tmp.keep(live, "live")
+    release(spark)
+    runs = live.withColumn("whole", F.col("need") <= F.max("k").over(of_run) - F.col("k") + 1)
     # A run too short to cover any string has nothing to sort.
     runs = runs.withColumn("some", F.max("whole").over(of_run)).withColumn("j", (F.col("k") - F.min("k").over(of_run)).cast("long")).where("some").drop("some")
     runs = tmp.keep(runs, "runs")
@@ -232,21 +299,32 @@ def remove_repeats(docs: DataFrame, config: RepeatConfig = RepeatConfig(), with_
     status = tmp.keep(order.select("sid", "k", "head", "whole").mapInArrow(_adjacent, "sid long, k int, status int"), "status")
     tmp.drop("runs", "ranks-1")
 
-    known = live.select("sid", "k", "at", "next").join(status, ["sid", "k"], "left").withColumn("status", F.coalesce("status", F.lit(0)))
-    known = tmp.keep(known, "known")
+    known = live.select("sid", "k", "name", "at", "next").join(status, ["sid", "k"], "left").withColumn("status", F.coalesce("status", F.lit(0)))
+    # A group's strings are only asked for if some string that is not settled has their first whole phrase; phrases
+    # so long that a string may hold none (or only that in which it starts) are always asked for.
+    near = Window.partitionBy("sid").orderBy("k")
+
+    def beside(k: int, name: str):
+        return F.when(F.lead("k", k).over(near) == F.col("k") + k, F.lead(name, k).over(near))
+
+    known = tmp.keep(known.select("*", beside(1, "name").alias("then"), beside(1, "next").alias("beyond"), beside(-1, "status").alias("ahead")), "known")
     tmp.drop("live", "status")
-    per_text = tmp.keep(known.groupBy(F.col("sid").alias("_sid")).agg(F.array_sort(F.collect_list(F.struct("k", "status"))).alias("x")).select("_sid", F.col("x.k").alias("_live"), F.col("x.status").alias("_status")), "per_text")
-    size = (per_text.agg(F.sum(F.size("_live") * 8 + 24)).first()[0] or 0) * 2
+    asked = known.where("ahead IS NULL").select(F.col("name").alias("_n")).unionByName(known.where("status = 0 AND then IS NOT NULL").select(F.col("then").alias("_n"))).distinct()
+    asked = tmp.keep(asked, "asked")
+    short = F.col("beyond") + c.context - F.col("at") <= c.length
+    silent = F.when((F.col("status") == 1) & F.col("then").isNotNull() & short & F.col("_n").isNull(), 2).otherwise(F.col("status"))
+    told = known.join(asked, F.col("then") == F.col("_n"), "left").select("sid", "k", silent.alias("status"))
+    per_text = tmp.keep(told.groupBy(F.col("sid").alias("_sid")).agg(F.array_sort(F.collect_list(F.struct("k", "status"))).alias("x")).select("_sid", F.col("x.k").alias("_live"), F.col("x.status").alias("_status")), "per_text")
+    size = (per_text.agg(F.sum(F.size("_live") * 8 + 64)).first()[0] or 0)
     ask = _attach(texts.select("sid", "text"), per_text, size, c).select("sid", "text", "_live", "_status")
-    strings = tmp.keep(ask.mapInArrow(lambda it: _strings(it, c), "h long, sid long, at int"), "strings")
-    tmp.drop("per_text")
+    strings = ask.mapInArrow(lambda it: _strings(it, c), "h long, sid long, at int")
     # A string is repeated if its hash has another place, or a group that it stands for.
-    found = strings.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.max("at").alias("a")).where("n > 1 AND a >= 0").select("h")
-    hits = strings.where("at >= 0").join(found, "h", "left_semi").select("sid", "at", (F.col("at") + 1).alias("next"))
+    hits = strings.repartition("h").sortWithinPartitions("h").mapInArrow(_hits, "sid long, at int, next int")
     ranges = known.where("status > 0").select("sid", "at", "next").unionByName(hits)
-    ranges = tmp.keep(ranges.groupBy(F.col("sid").alias("_sid")).agg(F.collect_list(F.struct("at", "next")).alias("r")).select("_sid", F.col("r.at").alias("_from"), F.col("r.next").alias("_to")), "ranges")
-    tmp.drop("strings", "known")
-    size = (ranges.agg(F.sum(F.size("_from") * 8 + 24)).first()[0] or 0) * 2
+    ranges = ranges.groupBy(F.col("sid").alias("_sid")).agg(F.collect_list("at").alias("_from"), F.collect_list("next").alias("_to"))
+    ranges = tmp.keep(ranges.mapInArrow(_join_up, "_sid long, _from array<int>, _to array<int>"), "ranges")
+    tmp.drop("per_text", "known", "asked")
+    size = (ranges.agg(F.sum(F.size("_from") * 8 + 64)).first()[0] or 0)
     many = copies.select(F.col("sid").alias("_of"), "_copies")
     out = _attach(texts, ranges, size, c)
     out = out.join(F.broadcast(many) if many.count() <= 200_000 else many, F.col("sid") == F.col("_of"), "left").select("doc_id", "text", "_from", "_to", "_copies")
