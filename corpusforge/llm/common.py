@@ -5,13 +5,16 @@ A *word* is a maximal run of characters outside ``\\x20`` and ``\\x09-\\x0D`` ev
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusforge.checkpoint import cut, shared_dir
+
+__all__ = ["BLANKS", "GAP", "Scratch", "WORD", "ascii_lower", "bucket_digits", "cut", "lean_batches", "let", "packed", "release", "shared_dir", "small", "table", "unpacked", "words"]
+
 WORD = "[^\\x20\\x09-\\x0D]+"
 GAP = "[\\x20\\x09-\\x0D]+"
 #: The six characters that separate words.
@@ -46,25 +49,6 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where that is unset."""
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    jsc = spark.sparkContext._jsc.sc()
-    if not path and jsc.getCheckpointDir().isDefined():
-        path = jsc.getCheckpointDir().get()
-    if not path:
-        path = tempfile.mkdtemp(prefix="corpusforge-")
-    if not jsc.getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint a (narrow) frame in the shared folder, so that a lost executor costs no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def lean_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Hand texts to Python workers in batches of at most ``rows``, so that workers stay small.
 
