@@ -221,3 +221,20 @@ def test_long_conversations(spark):
         said = "".join(r["text"][m["start"] : m["end"]] for r in parts for m in r["masks"])
         assert said == "".join(f"{t[3]}<|im_end|>\n" for t in turns[:300] if t[2] == who)
     assert chat.rotate(df.limit(0)).collect() == []
+
+
+def test_windows_do_not_depend_on_neighbours():
+    rng = np.random.default_rng(3)
+    a, b = (rng.integers(0, 40, n).astype(np.uint64) << np.uint64(40) for n in (300, 500))
+    alone = set(zip(*(x.tolist() for x in compact_windows.windows(b, np.array([0, 500]), 10)), strict=True))
+    both = set(zip(*(x.tolist() for x in compact_windows.windows(np.concatenate([a, b]), np.array([0, 300, 800]), 10)), strict=True))
+    assert {(x - 300, c - 300, y - 300) for x, c, y in both if x >= 300} == alone
+
+
+def test_busy_texts_are_cut_out_in_parts(spark):
+    rng = random.Random(9)
+    shared = " ".join(f"s{i}" for i in range(70))
+    docs = [(i, " ".join([*(f"a{rng.random()}" for _ in range(30)), shared, *(f"b{rng.random()}" for _ in range(30))])) for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    whole, parts = (sorted(map(tuple, compact_windows.find_passages(df, compact_windows.WindowConfig(asks_per_part=k)).collect())) for k in (2000, 3))
+    assert whole == parts and {d for r in whole for d in (r[1], r[4])} == set(range(40))
