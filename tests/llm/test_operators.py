@@ -237,4 +237,10 @@ def test_busy_texts_are_cut_out_in_parts(spark):
     docs = [(i, " ".join([*(f"a{rng.random()}" for _ in range(30)), shared, *(f"b{rng.random()}" for _ in range(30))])) for i in range(40)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     whole, parts = (sorted(map(tuple, compact_windows.find_passages(df, compact_windows.WindowConfig(asks_per_part=k)).collect())) for k in (2000, 3))
+    salted = compact_windows.find_passages(df, compact_windows.WindowConfig(hot_sample=1, hot_seen=2, salts=4)).collect()
+    label = list(range(40))
+    for r in salted:
+        x, y = label[r["doc_id"]], label[r["other_doc_id"]]
+        label = [x if z == y else z for z in label]
+    assert len(set(label)) == 1
     assert whole == parts and {d for r in whole for d in (r[1], r[4])} == set(range(40))
