@@ -145,16 +145,19 @@ def _open_places(s: np.ndarray, e: np.ndarray, live: np.ndarray, size: int, leng
 
 
 def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places (not groups' strings) whose hash has another row next to it in a sorted partition."""
+    """Places (not groups' strings) whose hash has another row next to it in a sorted partition, and settled runs."""
     held = last = None
 
     def pick(b: pa.RecordBatch, before, after):
         h = b.column("h").to_numpy()
         same = h[1:] == h[:-1]
         hit = np.concatenate([[before is not None and before == h[0]], same]) | np.concatenate([same, [after is not None and after == h[-1]]])
-        hit &= b.column("at").to_numpy() >= 0
-        at = b.column("at").to_numpy()[hit]
-        return pa.RecordBatch.from_arrays([pa.array(b.column("sid").to_numpy()[hit]), pa.array(at), pa.array(at + np.int32(1))], names=["sid", "at", "next"])
+        at, sid = b.column("at").to_numpy().astype(np.int64), b.column("sid").to_numpy()
+        hit = hit & (at >= 0) | (at < -1)
+        at, sid = at[hit], sid[hit]
+        start = np.where(at < 0, -2 - at, at)
+        end = start + np.where(at < 0, h[hit] & 0xFFFFFFFF, 1)
+        return pa.RecordBatch.from_arrays([pa.array(sid), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], names=["sid", "at", "next"])
 
     for b in batches:
         if not b.num_rows:
@@ -167,6 +170,28 @@ def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pick(held, last, None)
 
 
+def _settle(h: np.ndarray, sid: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Settles the strings that occur again in the step at hand, so that a frequent one is sent on once a step.
+
+    The places of such strings become runs: ``at`` is ``-2 - place``, and the low half of a scattered ``h`` holds the
+    length. One row stands for each string.
+    """
+    values, inv, n = np.unique(h, return_inverse=True, return_counts=True)
+    again = n[inv.ravel()] > 1
+    places = again & (at >= 0)
+    s, a = sid[places], at[places].astype(np.int64)
+    first = np.flatnonzero(np.diff(s, prepend=s[:1] + 1).astype(bool) | (np.diff(a, prepend=-1) != 1))
+    length = np.diff(np.append(first, len(s)))
+    s, a = s[first], a[first]
+    scattered = mix(s.view(U) + mix(a.astype(U)), 6) & ~U(0xFFFFFFFF) | length.astype(U)
+    stand = values[n > 1]
+    return (
+        np.concatenate([h[~again], stand, scattered]),
+        np.concatenate([sid[~again], np.zeros(len(stand), dtype=np.int64), s]),
+        np.concatenate([at[~again], np.full(len(stand), -1), -2 - a]).astype(np.int32),
+    )
+
+
 def _strings(batches: Iterator[pa.RecordBatch], c: RepeatConfig) -> Iterator[pa.RecordBatch]:
     """Hashes of the strings that prefixes could not settle, by place, and of those that groups stand for.
 
@@ -207,7 +232,7 @@ def _strings(batches: Iterator[pa.RecordBatch], c: RepeatConfig) -> Iterator[pa.
                         at.append(w1 if known else np.full(len(w1), -1))
                         ids.append(np.full(len(w1), sid[first + i] if known else 0))
             if hs:
-                h, d, a = np.concatenate(hs), np.concatenate(ids), np.concatenate(at).astype(np.int32)
+                h, d, a = _settle(np.concatenate(hs), np.concatenate(ids), np.concatenate(at).astype(np.int32))
                 for j in range(0, len(h), 100_000):
                     yield pa.RecordBatch.from_arrays([signed(h[j : j + 100_000]), pa.array(d[j : j + 100_000]), pa.array(a[j : j + 100_000])], names=["h", "sid", "at"])
 
