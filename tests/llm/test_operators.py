@@ -244,3 +244,17 @@ def test_busy_texts_are_cut_out_in_parts(spark):
         label = [x if z == y else z for z in label]
     assert len(set(label)) == 1
     assert whole == parts and {d for r in whole for d in (r[1], r[4])} == set(range(40))
+
+
+def test_passages_on_both_sides_of_an_insertion(spark):
+    rng = random.Random(12)
+    docs, want = [], set()
+    for k in range(60):
+        x, y, z = ([f"{s}{k}_{rng.random()}" for _ in range(n)] for s, n in (("x", 150), ("y", 150), ("z", 200)))
+        docs += [(2 * k, " ".join(x + y)), (2 * k + 1, " ".join(x + z + y))]
+        want |= {(k, "x"), (k, "y")}
+    got = set()
+    for r in compact_windows.find_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        start, end = (r["start_word"], r["end_word"]) if r["doc_id"] % 2 == 0 else (r["other_start"], r["other_end"])
+        got |= {(r["doc_id"] // 2, side) for side, lo in (("x", 0), ("y", 150)) if start <= lo + 20 and end >= lo + 130}
+    assert len(want - got) <= 2
