@@ -258,3 +258,13 @@ def test_passages_on_both_sides_of_an_insertion(spark):
         start, end = (r["start_word"], r["end_word"]) if r["doc_id"] % 2 == 0 else (r["other_start"], r["other_end"])
         got |= {(r["doc_id"] // 2, side) for side, lo in (("x", 0), ("y", 150)) if start <= lo + 20 and end >= lo + 130}
     assert len(want - got) <= 2
+
+
+def test_passages_do_not_depend_on_partitions(spark):
+    rng = random.Random(13)
+    shared = " ".join(f"s{i}" for i in range(70))
+    texts = [" ".join([*(f"a{rng.random()}" for _ in range(rng.choice([0, 30]))), shared, *(f"b{rng.random()}" for _ in range(30))]) for _ in range(20)]
+    df = spark.createDataFrame([(i, texts[i % 20]) for i in range(80)], "doc_id long, text string")
+    config = compact_windows.WindowConfig(hot_sample=1, hot_seen=21, salts=4)
+    one, many = (sorted(map(tuple, compact_windows.find_passages(df.repartition(k), config).collect())) for k in (1, 7))
+    assert one == many and len(one) >= 79
