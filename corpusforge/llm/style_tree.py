@@ -6,11 +6,12 @@ always looks alike and always says the same has low entropy in both, so little i
 every page of the host. Landmarks decide first, as entropy cannot: adverts and menus whose words differ on every page
 look as important as articles. Elements that declare themselves as menu, header, footer, sidebar, notice, advert,
 form or comment are removed, and if a page marks its article or main part, only that is kept. Text blocks of a marked
-article are never removed for being alike.
+article are never removed for being alike. Exact copies of a page count once in the tree, and ``html``, ``body`` and
+whatever holds an article or main part on some page of the host always stay.
 
 Defined cases: a null or empty html gives an empty text; broken markup is read as far as it goes, an unclosed element
 ends with its parent; a null or unparsable url counts as a host of its own kind; repeated rows each give a row and
-count as pages; an empty table gives no rows. Columns other than ``page_id, url, html`` are not read.
+count as one page; an empty table gives no rows. Columns other than ``page_id, url, html`` are not read.
 """
 
 from __future__ import annotations
@@ -60,12 +61,13 @@ def _hash(*parts: str) -> int:
 
 
 class _Node:
-    __slots__ = ("tag", "path", "noise", "main", "kids", "said", "block")
+    __slots__ = ("tag", "path", "noise", "main", "kids", "said", "holds")
 
     def __init__(self, tag: str, path: str, noise: bool, main: bool):
         self.tag, self.path, self.noise, self.main = tag, path, noise, main
         self.kids: list[str] = []
         self.said: list[str] = []
+        self.holds = False
 
 
 def _is_noise(tag: str, attrs: dict[str, str], in_main: bool) -> bool:
@@ -81,7 +83,8 @@ def _is_noise(tag: str, attrs: dict[str, str], in_main: bool) -> bool:
 
 def read_page(html: str | None, low: frozenset[int] = frozenset(), seen: list | None = None) -> str:
     """The main text of a page. ``low``: hashes of paths whose branches go. ``seen`` gets a row
-    ``(path hash, presentation, content)`` for each element outside of formatting."""
+    ``(path hash, presentation, content, text of an article, kept for what it holds)`` for each element outside of
+    formatting."""
     html = html or ""
     root = _Node("", "", False, False)
     stack, blocks, piece = [root], [], []
@@ -102,8 +105,10 @@ def read_page(html: str | None, low: frozenset[int] = frozenset(), seen: list |
         if n.tag not in _inline:
             flush()
         stack.pop()
+        if n.holds or n.main and not stack[-1].main:
+            stack[-1].holds = True
         if seen is not None and n.path:
-            seen.append((_hash(n.path), _hash("kids", *n.kids), _hash("said", *n.said), n.main and n.tag in _text))
+            seen.append((_hash(n.path), _hash("kids", *n.kids), _hash("said", *n.said), n.main and n.tag in _text, n.holds or n.tag in ("html", "body")))
 
     def add(raw: str) -> None:
         if raw:
@@ -195,8 +200,10 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, page in zip(b.column("_host").to_pylist(), b.column("html").to_pylist(), strict=True):
             rows: list = []
             read_page(page, seen=rows)
-            for path, kids, said, fixed in rows:
-                if not fixed:
+            for path, kids, said, fixed, stays in rows:
+                if stays:
+                    counts[host, path, 2, 0] += 1
+                elif not fixed:
                     counts[host, path, 0, kids] += 1
                     counts[host, path, 1, said] += 1
         if counts:
@@ -209,12 +216,16 @@ def low_branches(pages: DataFrame, config: TreeConfig = TreeConfig()) -> DataFra
 
     A node's importance is the larger of its two entropies, each relative to that of as many pages that all differ.
     """
-    merged = pages.select("_host", "html").mapInArrow(_merge, "_host string, path long, kind int, value long, n long")
+    known = pages.select("_host", "html", F.xxhash64("html").alias("_page"))
+    # Only pages that have copies are shuffled, one of each from a task.
+    many = small(cut(known.groupBy("_host", "_page").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_host", "_page")))
+    once = known.join(many, ["_host", "_page"], "left_anti").unionByName(known.join(many, ["_host", "_page"], "left_semi").dropDuplicates(["_host", "_page"]))
+    merged = once.select("_host", "html").mapInArrow(_merge, "_host string, path long, kind int, value long, n long")
     counts = merged.groupBy("_host", "path", "kind", "value").agg(F.sum("n").cast("double").alias("n"))
     spread = counts.groupBy("_host", "path", "kind").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"))
     entropy = F.when(F.col("pages") > 1, (F.log("pages") - F.col("s") / F.col("pages")) / F.log("pages")).otherwise(1.0)
-    nodes = spread.groupBy("_host", "path").agg(F.max("pages").alias("pages"), F.max(entropy).alias("importance"))
-    low = nodes.where((F.col("pages") >= config.min_pages) & (F.col("importance") < config.min_importance))
+    nodes = spread.groupBy("_host", "path").agg(F.max("pages").alias("pages"), F.max(entropy).alias("importance"), F.max("kind").alias("kind"))
+    low = nodes.where((F.col("kind") < 2) & (F.col("pages") >= config.min_pages) & (F.col("importance") < config.min_importance))
     return low.groupBy("_host").agg(F.sort_array(F.collect_set("path")).alias("_low"))
 
 

@@ -268,3 +268,11 @@ def test_passages_do_not_depend_on_partitions(spark):
     config = compact_windows.WindowConfig(hot_sample=1, hot_seen=21, salts=4)
     one, many = (sorted(map(tuple, compact_windows.find_passages(df.repartition(k), config).collect())) for k in (1, 7))
     assert one == many and len(one) >= 79
+
+
+def test_copies_of_a_page_keep_their_text(spark):
+    page = "<html><body><div class=top><p>Follow us</p></div><div class=wrap><article><h1>Title</h1><p>Story {}</p></article></div></body></html>"
+    data = [(i, "http://copies.example/a", page.format("one")) for i in range(40)] + [(100 + i, "http://copies.example/b", page.format(f"two {i}")) for i in range(2)]
+    data += [(200 + i, "http://alike.example/a", page.format("one") + "<!-- " + str(i) + " -->") for i in range(9)]
+    out = {r["page_id"]: r["text"] for r in style_tree.extract_pages(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert out[0] == out[39] == out[200] == "Title\nStory one" and out[100] == "Title\nStory two 0"
