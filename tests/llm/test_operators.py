@@ -276,3 +276,19 @@ def test_copies_of_a_page_keep_their_text(spark):
     data += [(200 + i, "http://alike.example/a", page.format("one") + "<!-- " + str(i) + " -->") for i in range(9)]
     out = {r["page_id"]: r["text"] for r in style_tree.extract_pages(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
     assert out[0] == out[39] == out[200] == "Title\nStory one" and out[100] == "Title\nStory two 0"
+
+
+def test_passages_that_the_least_text_does_not_match(spark):
+    rng = random.Random(21)
+    docs = []
+    for k in range(20):
+        base = [f"p{k}_{i}" for i in range(80)]
+        for j in range(14):
+            own = list(base)
+            for i in rng.sample(range(80), 0 if j < 2 else 6):
+                own[i] = f"e{rng.random()}"
+            docs.append((100 * k + j, " ".join([*(f"a{rng.random()}" for _ in range(30)), *own, *(f"b{rng.random()}" for _ in range(30))])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    plain, salted = (sorted(map(tuple, compact_windows.find_passages(df, compact_windows.WindowConfig(hot_sample=1, hot_seen=k, salts=4)).collect())) for k in (10**9, 4))
+    assert sum(any({r[1], r[4]} == {100 * k, 100 * k + 1} for r in plain) for k in range(20)) >= 19
+    assert plain == salted
