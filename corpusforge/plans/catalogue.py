@@ -546,7 +546,7 @@ def a2_total_tokens(spark, sf_dir):
 @query()
 def e1_pipeline(spark, sf_dir):
     """Clean, drop near duplicates, filter, chunk and pack."""
-    docs = _marked(spark, sf_dir)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     kept = docs.join(N.representatives(N.cluster(docs, 0.95, min_length=1)), "doc_id", "left_semi")
     good = kept.withColumn("text", T.clean(F.col("text"))).where(F.col("text").isNotNull() & ~T.contains_any(F.lower("text"), T.EXAM_PHRASES))
     return _packed(good.withColumn("text", F.concat(F.lit("<s>"), "text", F.lit("</s>"))).withColumn("part", F.col("source")), 128)

@@ -19,3 +19,10 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_pipeline_keeps_texts_whatever_their_id(spark, tmp_path):
+    docs = [(i, "s", "en", " ".join(f"d{i}w{j}" for j in range(128))) for i in range(14)]
+    spark.createDataFrame(docs, "doc_id long, source string, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    text = " ".join(r["text"] for r in catalogue.QUERIES["e1_pipeline"](spark, str(tmp_path)).collect())
+    assert all(f"d{i}w5 " in text for i in range(14))
