@@ -273,6 +273,13 @@ def h7_jaccard_pairs(spark, sf_dir):
     return d.select("doc_id", T.jaccard(T.char_ngrams(F.col("a"), 8), T.char_ngrams(F.col("b"), 8)).alias("jaccard"))
 
 
+@query()
+def h7_jaccard_whole(spark, sf_dir):
+    """As ``h7_jaccard_pairs``, over whole texts."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("a"), F.lead("text").over(Window.partitionBy("source").orderBy("doc_id")).alias("b")).where("b IS NOT NULL")
+    return d.select("doc_id", T.jaccard(T.char_ngrams(F.col("a"), 8), T.char_ngrams(F.col("b"), 8)).alias("jaccard"))
+
+
 _SPLIT = r"string_split_regex(text, '[^\p{L}\p{N}_]')"
 _GRAMS = "list_distinct(CASE WHEN len(w) < 5 THEN [] ELSE list_transform(range(1, len(w) - 3), lambda i: lower(array_to_string(w[i : i + 4], ' '))) END)"
 
