@@ -194,8 +194,8 @@ PAGE = """<!DOCTYPE html><html><head><title>t</title><script>var a = "</p><p>no<
 
 
 def test_page_text(spark):
-    assert style_tree.read_page(PAGE) == "Title &é\nOne bold text.\nTwo lines\nQuote"
-    assert style_tree.read_page(None) == style_tree.read_page("") == style_tree.read_page("<p") == ""
+    assert style_tree.read_page(PAGE).text == "Title &é\nOne bold text.\nTwo lines\nQuote"
+    assert [style_tree.read_page(x).text for x in (None, "", "<p")] == [""] * 3
     plain = "<body><div class=top><p>Follow us</p></div><div class=story><p>{}</p></div>"
     data = [(i, f"http://h.example/{i}", plain.format(f"story {i} " * 3)) for i in range(20)] + [(99, None, None), (99, None, None)]
     out = {r["page_id"]: r["text"] for r in style_tree.extract_pages(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
