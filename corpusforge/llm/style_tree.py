@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.llm.common import cut
+from corpusforge.llm.common import Scratch, cut, small
 
 
 @dataclass(frozen=True)
@@ -259,7 +259,7 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: dict = {}
         for host, page in zip(b.column("_host").to_pylist(), b.column("html").to_pylist(), strict=True):
             seen = Seen([], [], {})
-            key = _hash(read_page(page, seen=seen).text)
+            key = _hash(read_page(page, seen=seen).text) >> 32
             for path, kids, stays in seen.elements:
                 rows[host, 0, path, kids, key] = 0
                 if stays and (host, path, 3) not in told:
@@ -280,7 +280,7 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 told.clear()
         if rows:
             keys = list(zip(*rows, strict=True))
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays([*(pa.array(k, t) for k, t in zip(keys, kinds, strict=True)), pa.array(list(rows.values()), pa.int32())], names=["_host", "kind", "path", "value", "page", "chars"])
 
 
@@ -288,11 +288,13 @@ def style_tree(pages: DataFrame, config: TreeConfig = TreeConfig()) -> DataFrame
     """``_host, kind, path, pages, importance, best, stays``: the nodes of every host's tree. ``kind`` is 0 for an
     element and 1 for a text node; ``best`` is the largest importance in the node's branch, itself included."""
     c = config
-    rows = pages.select("_host", "html").mapInArrow(_learn, "_host long, kind int, path long, value long, page long, chars int")
-    rows = cut(rows.groupBy("_host", "kind", "path", "value", "page").agg(F.max("chars").alias("chars")))
+    rows = pages.select("_host", "html").mapInArrow(_learn, "_host long, kind int, path long, value long, page int, chars int")
+    tmp = Scratch(pages.sparkSession)
+    rows = tmp.keep(rows.groupBy("_host", "kind", "path", "value", "page").agg(F.max("chars").alias("chars")), "rows")
     said = rows.where("kind < 2")
     count = F.count(F.lit(1)).cast("double")
-    sizes = said.select("_host", "page").distinct().groupBy(F.col("_host").alias("_h")).agg(count.alias("m"))
+    # A host's pages are broadcast to its features, which are not dealt by host.
+    sizes = small(cut(said.select("_host", "page").distinct().groupBy(F.col("_host").alias("_h")).agg(count.alias("m"))))
     on_pages = said.groupBy("_host", "kind", "path").agg(F.count_distinct("page").alias("pages"))
     features = said.groupBy("_host", "kind", "path", "value").agg(count.alias("n"), F.sum("chars").alias("chars")).join(sizes, F.col("_host") == F.col("_h"))
     n, m = F.col("n"), F.greatest(F.col("m"), F.lit(2.0))
@@ -312,7 +314,9 @@ def style_tree(pages: DataFrame, config: TreeConfig = TreeConfig()) -> DataFrame
     rated = cut(nodes.join(branch, ["_host", "path"], "left").select("_host", "kind", "path", "pages", importance.alias("importance")))
     best = above.join(rated.where(known).select("_host", "path", "importance"), ["_host", "path"]).groupBy("_host", F.col("up").alias("path")).agg(F.max("importance").alias("best"))
     stays = rows.where("kind = 3").select("_host", "path", F.lit(True).alias("stays"))
-    return rated.join(best, ["_host", "path"], "left").join(stays, ["_host", "path"], "left").withColumn("stays", F.coalesce("stays", F.lit(False)))
+    tree = cut(rated.join(best, ["_host", "path"], "left").join(stays, ["_host", "path"], "left").withColumn("stays", F.coalesce("stays", F.lit(False))))
+    tmp.drop("rows")
+    return tree
 
 
 def low_branches(pages: DataFrame, config: TreeConfig = TreeConfig()) -> DataFrame:
