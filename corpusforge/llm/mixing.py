@@ -2,9 +2,10 @@
 
 Each source's documents, in a seeded order, form one stream of words that is cut into blocks of ``block_words``. The
 mix has as many block seats as the corpus has blocks; seats go to the sources with the highest quotients
-``target / (2k + 1)``, which fixes an integer quota per source and output shard. A source with more seats than blocks
-is passed over whole as often as they allow, and the rest of its seats falls on blocks spaced evenly from a seeded
-start in the seeded order, so that exactly the quota is selected and no block table is needed.
+``target / (2k + 1)``, which fixes an integer quota per source and output shard. Seat ``k`` of a source is block
+``k mod blocks`` of its stream and lies in the shard whose cumulative quota it falls under; so a source with more seats
+than blocks is passed over whole as often as they allow, and the rest of its seats falls on the first blocks of the
+seeded order. Exactly the quota is selected, no block table is needed, and of each source at most one document is cut.
 
 Defined cases: a null text has no words and is taken 0 times; a null source is a source of its own, last in code
 point order; a null doc_id orders as the empty string; repeated rows stand side by side in the stream and count each;
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusforge.llm.common import bucket_digits, cut, packed, small, unpacked, words
+from corpusforge.llm.common import BLANKS, WORD, bucket_digits, cut, packed, small, unpacked, words
 
 
 @dataclass(frozen=True)
@@ -92,11 +93,6 @@ def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
-def chosen_before(block: Column, blocks: Column, extra: Column) -> Column:
-    """Blocks below ``block`` among the ``extra`` of ``blocks`` that the last, partial pass selects."""
-    return F.when(blocks > 0, _div(block * extra + _div(blocks, F.lit(2)), blocks)).otherwise(F.lit(0)).cast("long")
-
-
 def _order(doc_id: Column, seed: str) -> Column:
     return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit(""))))
 
@@ -126,45 +122,41 @@ def plan_mix(docs: DataFrame, config: MixConfig = MixConfig(), wide: bool = Fals
 
 
 def with_sources(placed: DataFrame, sources: DataFrame) -> DataFrame:
-    passes = F.when(F.col("blocks") > 0, _div(F.element_at("quota", -1), F.col("blocks"))).otherwise(0).cast("long")
-    s = sources.select(F.col("source").alias("_of"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("blocks").alias("_blocks"), passes.alias("_passes"), F.element_at("quota", -1).alias("_seats"))
-    s = s.withColumn("_extra", F.col("_seats") - F.col("_passes") * F.col("_blocks"))
+    seats = F.element_at("quota", -1)
+    passes = F.when(F.col("blocks") > 0, _div(seats, F.col("blocks"))).otherwise(0).cast("long")
+    s = sources.select(F.col("source").alias("_of"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("quota").alias("_quota"), passes.alias("_passes"), (seats - passes * F.col("blocks")).alias("_extra"))
     return placed.join(small(s), F.col("source").eqNullSafe(F.col("_of")))
 
 
-def extra_words(size: Column, offset: Column, blocks: Column, extra: Column, block_words: int) -> Column:
-    """Words of ``[offset, offset + size)`` that lie in blocks which the partial pass selects."""
-    b = block_words
+def extra_words(size: Column, offset: Column, extra: Column, block_words: int) -> Column:
+    """Words of ``[offset, offset + size)`` that lie in the first ``extra`` blocks, which the partial pass selects."""
+    return F.greatest(F.least(size, extra * block_words - offset), F.lit(0)).cast("long")
 
-    def upto(w: Column) -> Column:
-        block = _div(w, F.lit(b))
-        here = chosen_before(block + 1, blocks, extra) - chosen_before(block, blocks, extra)
-        return chosen_before(block, blocks, extra) * b + here * (w % b)
 
-    return upto(offset + size) - upto(offset)
+def leading_words(text: Column, n: Column) -> Column:
+    """``text`` up to the end of its ``n``-th word, its white space kept; ``n`` is 1 at least and it has so many."""
+    runs = F.regexp_extract_all(text, F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0))
+    lead = F.regexp_extract(text, "^[\\x20\\x09-\\x0D]*", 0)
+    return F.concat(lead, F.rtrim(F.array_join(F.slice(runs, F.lit(1), n.cast("int")), ""), F.lit(BLANKS)))
 
 
 def mix_report(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` of every row, and how often its source is passed over whole."""
+    """``doc_id, size, source_size, target, taken`` of every row, how often its source is passed over whole, and the
+    output shard (from 1) of the first word taken from it, null if none is."""
     x = with_sources(*plan_mix(docs, config))
-    taken = F.col("_passes") * F.col("_size") + extra_words(F.col("_size"), F.col("_offset"), F.col("_blocks"), F.col("_extra"), config.block_words)
-    return x.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), taken.cast("long").alias("taken"), F.col("_passes").alias("whole_passes"))
+    taken = F.col("_passes") * F.col("_size") + extra_words(F.col("_size"), F.col("_offset"), F.col("_extra"), config.block_words)
+    seat = _div(F.col("_offset"), F.lit(config.block_words))
+    shard = F.size(F.filter("_quota", lambda q: q <= seat)).cast("long") + 1
+    return x.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), taken.cast("long").alias("taken"), F.col("_passes").alias("whole_passes"), F.when(taken > 0, shard).alias("first_shard"))
 
 
 def mix_documents(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
-    """The mix as rows of ``docs``: one row per whole pass over the source, and one with the words that the last,
-    partial pass takes from the document, joined by single spaces (``n_chars``, if present, is their length)."""
+    """The mix as rows of ``docs``: one row per whole pass over the source, and one for the last, partial pass, whose
+    text is the document's or, of one document per source, its beginning (``n_chars``, if present, is its length)."""
     x = with_sources(*plan_mix(docs, config, wide=True))
-    b = config.block_words
-
-    def picked(i: Column) -> Column:
-        block = _div(F.col("_offset") + i, F.lit(b))
-        return chosen_before(block + 1, F.col("_blocks"), F.col("_extra")) > chosen_before(block, F.col("_blocks"), F.col("_extra"))
-
     text = F.col("__row__.text")
-    some = F.array_join(F.filter(words(text), lambda w, i: picked(i)), " ")
-    n_extra = extra_words(F.col("_size"), F.col("_offset"), F.col("_blocks"), F.col("_extra"), b)
+    n_extra = extra_words(F.col("_size"), F.col("_offset"), F.col("_extra"), config.block_words)
     whole = F.when(F.col("_size") > 0, F.array_repeat(text, F.col("_passes").cast("int"))).otherwise(F.array())
-    part = F.when(n_extra == F.col("_size"), F.array(text)).otherwise(F.array(some))
-    texts = F.concat(whole, F.when((n_extra > 0) & (F.col("_size") > 0), part).otherwise(F.array()))
+    part = F.when(n_extra == F.col("_size"), text).otherwise(leading_words(text, n_extra))
+    texts = F.concat(whole, F.when(n_extra > 0, F.array(part)).otherwise(F.array()))
     return unpacked(x.withColumn("_text", F.explode(texts)), text=F.col("_text"), n_chars=F.length("_text").cast("long"))

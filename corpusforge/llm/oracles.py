@@ -105,17 +105,23 @@ m_p AS (SELECT t.*, coalesce(seats, 0) AS seats, CASE WHEN blocks > 0 THEN coale
 m_doc AS (SELECT d.*, p.source_size, p.target, p.blocks, p.passes, p.seats - p.passes * p.blocks AS extra,
   coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY ord, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off
   FROM m_d d JOIN m_p p ON d.source IS NOT DISTINCT FROM p.source),
-m_x AS (SELECT *, list_filter(range(size), lambda i: ((((off + i) // 32 + 1) * extra + blocks // 2) // blocks) > ((((off + i) // 32) * extra + blocks // 2) // blocks)) AS picked FROM m_doc),
-m_out AS (SELECT doc_id, size, source_size, target, (passes * size + len(picked))::BIGINT AS taken, passes::BIGINT AS whole_passes FROM m_x)"""
+m_x AS (SELECT *, greatest(least(size, extra * 32 - off), 0)::BIGINT AS part FROM m_doc),
+m_h AS (SELECT source, row_number() OVER (PARTITION BY source ORDER BY seat) - 1 AS k,
+  (SELECT min(p) FROM range(1, 9) r(p) WHERE seat <= floor((SELECT floor(sum(source_size) / 32 + 0.5) FROM m_t) * p / 8)) AS shard FROM m_q),
+m_out AS (SELECT doc_id, size, source_size, target, (passes * size + part)::BIGINT AS taken, passes::BIGINT AS whole_passes, CASE WHEN passes * size + part > 0 THEN shard END::BIGINT AS first_shard
+  FROM m_x x LEFT JOIN m_h h ON x.source IS NOT DISTINCT FROM h.source AND x.off // 32 = h.k)"""
 
 
 def mixed_rows() -> str:
     """Makes ``m_rows``: what the mix consists of, with the columns of ``documents``."""
+    runs = "regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*')"
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
     return f"""
 m_rows AS (SELECT doc_id, text, lang, source, length(text)::BIGINT AS n_chars FROM (
   SELECT doc_id, lang, source, unnest(list_concat(CASE WHEN size > 0 THEN list_transform(range(passes), lambda p: text) ELSE [] END,
-    CASE WHEN len(picked) = 0 THEN [] WHEN len(picked) = size THEN [text] ELSE [array_to_string(list_transform(picked, lambda i: ws[i + 1]), ' ')] END)) AS text
-  FROM (SELECT *, {_words('text')} AS ws FROM m_x)))"""
+    CASE WHEN part = 0 THEN [] WHEN part = size THEN [text]
+      ELSE [regexp_extract(text, '^[\\x20\\x09-\\x0D]*') || rtrim(array_to_string(({runs})[1:part], ''), {blanks})] END)) AS text
+  FROM m_x))"""
 
 
 def sharding(src: str) -> str:

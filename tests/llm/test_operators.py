@@ -170,6 +170,19 @@ def test_mix_rows_hold_the_words_taken(spark, texts):
     assert sum(r["size"] for r in report) == pytest.approx(sum({(r["source_size"], r["target"]) for r in report} and [t for _, t in {(r["source_size"], r["target"]) for r in report}]), rel=1e-9)
 
 
+def test_mix_cuts_one_text_per_source_at_a_word(spark, texts):
+    docs = frame(spark, texts).withColumn("doc_id", F.coalesce("doc_id", F.lit(-1)))
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    cuts = [r for r in mixing.mix_documents(docs).collect() if r["text"] != text[r["doc_id"]]]
+    assert all(text[r["doc_id"]].startswith(r["text"]) and WORD.findall(r["text"]) == WORD.findall(text[r["doc_id"]])[: len(WORD.findall(r["text"]))] for r in cuts)
+    assert len(cuts) == len({r["source"] for r in cuts})
+
+
+def test_leading_words_keep_white_space(spark):
+    df = spark.createDataFrame([("\n a\t\tb \x0bc ", n) for n in (1, 2, 3)], "t string, n long")
+    assert [r[0] for r in df.select(mixing.leading_words(F.col("t"), F.col("n"))).collect()] == ["\n a", "\n a\t\tb", "\n a\t\tb \x0bc"]
+
+
 def test_contamination_on_odd_rows(spark, texts):
     long = " ".join(f"q{i}" for i in range(40))
     docs = frame(spark, [*texts, f"Before {long.upper()} after " + " ".join(f"z{i}" for i in range(3000)), long[:60]])
