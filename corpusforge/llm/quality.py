@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.llm.common import BLANKS, cut, let, packed, small, unpacked, words
+from corpusforge.llm.common import BLANKS, Scratch, cut, let, packed, small, unpacked, words
 
 SYMBOLS = "#*$%&|<>"
 
@@ -128,5 +128,6 @@ def score_documents(docs: DataFrame, config: QualityConfig = QualityConfig()) ->
 
 def keep_documents(docs: DataFrame, config: QualityConfig = QualityConfig()) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
-    measured = measure(packed(docs), "__row__.text", config)
+    # Verdicts need all measurements first; they are written beside the rows, so that each text is measured once.
+    measured = Scratch(docs.sparkSession).keep(measure(packed(docs), "__row__.text", config), "measured")
     return unpacked(judge(measured, "__row__.source", config).where("_kept"))
