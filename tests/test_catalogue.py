@@ -34,3 +34,10 @@ def test_jaccard_of_whole_texts(spark, tmp_path):
     sets = [{t[i : i + 8] for i in range(len(t) - 7)} for t in texts]
     got = {r["doc_id"]: r["jaccard"] for r in catalogue.QUERIES["h7_jaccard_whole"](spark, str(tmp_path)).collect()}
     assert got == pytest.approx({i: len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(2)})
+
+
+@pytest.mark.parametrize(("threshold", "kept"), [("095", 926), ("070", 894)])
+def test_minhash_clusters_keep_the_known_number(spark, threshold, kept):
+    docs = "/root/testdata/sf0.01"
+    ids = [r["doc_id"] for r in catalogue.QUERIES[f"d6_minhash_dedup_{threshold}"](spark, docs).select("doc_id").collect()]
+    assert len(ids) == len(set(ids)) == kept
