@@ -3,6 +3,8 @@
 A row's shard depends on its key and the number of shards alone; with one more shard, about ``1/(n+1)`` of the
 rows move, all of them into the new shard.
 
+An integer key is hashed as it is; a key of another type, such as a string, by its 64-bit xxHash.
+
 Defined cases: a null key hashes as 0; a null text counts no bytes and has a null checksum; repeated rows share a
 shard and get a slot each; an empty table gives no rows. Input columns other than the three named are not read, so
 names that clash with result columns do no harm.
@@ -12,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from corpusforge.llm.common import bucket_digits, cut, small
 
@@ -96,7 +99,9 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id",
         (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("long").alias("size"),
         F.crc32(F.encode(F.col(text), "UTF-8")).alias("text_crc32"),
     )
-    placed = rows.withColumn("_jump", jump_hash(F.col("doc_id"), shards)).withColumn("_order", F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text_crc32").cast("string"), F.lit("")))))
+    whole = isinstance(rows.schema["doc_id"].dataType, IntegralType)
+    hashed = F.col("doc_id") if whole else F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id"))
+    placed = rows.withColumn("_jump", jump_hash(hashed, shards)).withColumn("_order", F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text_crc32").cast("string"), F.lit("")))))
     placed = cut(placed.select("doc_id", "size", "text_crc32", F.col("_jump.shard").alias("shard"), F.col("_jump.grown").alias("grown_shard"), "_order"))
     digits = bucket_digits(placed.count() // shards)
     placed = placed.withColumn("_bucket", F.substring("_order", 1, digits))

@@ -162,6 +162,12 @@ def test_jump_moves_only_to_the_new_shard(spark):
         assert sorted(r["slot"] for r in out if r["shard"] == s) == list(range(sum(r["shard"] == s for r in out)))
 
 
+def test_jump_takes_string_keys(spark):
+    keys = spark.createDataFrame([(f"key {k}" if k else None, "t") for k in range(200)], "doc_id string, text string")
+    out = jump.shard_documents(keys, 7).collect()
+    assert {r["shard"] for r in out} == set(range(7)) and all(r["grown_shard"] in (r["shard"], 7) for r in out)
+
+
 def test_mix_rows_hold_the_words_taken(spark, texts):
     docs = frame(spark, texts)
     report, mixed = mixing.mix_report(docs).collect(), mixing.mix_documents(docs).collect()
