@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space as Unicode defines it, spelled out for Java's regular expressions.
 SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+NO_SPACE = r"[^\s\x0b\x1c-\x1f\x85\p{Z}]"
 WORD_CHAR = r"[\p{L}\p{N}_]"
 
 # Phrases that mark pages which are no articles, the reasons of HTTP status codes, and word lists.
@@ -19,6 +20,7 @@ BOILERPLATE = [
     "Internal Server Error", "__NOEDITSECTION__", "enter your username and password", "forgotten your password", "cookies enabled", "enable JavaScript in your browser.",
     "The page cannot be displayed", "site or edit the error_page",
 ]
+FAILED_REQUEST = ["Request unsuccessful"]
 SNAPSHOT_EXTRA = ["404", "Login", "sign in", "tentang kami", "skip to content", "hubungi kami", "laman utama", "Hakcipta terpelihara", "Copyright ©"]
 EXAM_PHRASES = ["markah untuk setiap satu", "soalan mesti dijawab dalam", "25 markah", "50 markah"]
 META_PHRASES = ["return JSON", "AI language model", "model bahasa AI"]
@@ -53,13 +55,24 @@ def markers() -> list[str]:
     return BOILERPLATE + status_markers()
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once; named in a lambda of its own, an expression is computed per element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def contains_any(text: Column, phrases: Iterable[str]) -> Column:
     """True if a phrase occurs in the text, case-sensitively."""
     return reduce(or_, (text.contains(p) for p in phrases), F.lit(False))
 
 
-def rejected(text: Column, phrases: Iterable[str] | None = None) -> Column:
-    return contains_any(text, markers() if phrases is None else phrases)
+def has_status(text: Column) -> Column:
+    """True if a status code and its reason occur; one pass whose look-ahead fails at once nearly everywhere."""
+    return text.rlike("(?=[45][0-9]{2} )(?:" + "|".join(map(re.escape, status_markers())) + ")")
+
+
+def rejected(text: Column, extra: Iterable[str] = ()) -> Column:
+    """True if the text holds a marker of ``markers()`` or one of ``extra`` (such as ``FAILED_REQUEST``)."""
+    return contains_any(text, [*BOILERPLATE, *extra]) | has_status(text)
 
 
 def strip(text: Column) -> Column:
@@ -73,10 +86,21 @@ def fold(text: Column) -> Column:
     return F.regexp_replace(t, r"\.{6,}", "...")
 
 
+def acceptable(text: Column) -> Column:
+    """True for a text without markers of at least 3 characters when stripped; folding leaves no text shorter than that."""
+    return ~rejected(text) & text.rlike(f"(?s){NO_SPACE}.+?{NO_SPACE}")
+
+
 def clean(text: Column) -> Column:
-    """A document as it is kept; null if it is rejected or too short."""
-    c = fold(strip(text))
-    return F.when(~rejected(text) & (F.length(c) >= 3), c)
+    """A document as it is kept; null if it is not acceptable.
+
+    Filter on ``acceptable`` before, where rows go: a filter on this column would evaluate all of it twice.
+    """
+    return F.when(acceptable(text), fold(strip(text)))
+
+
+def clean_documents(docs: DataFrame, text: str = "text") -> DataFrame:
+    return docs.where(acceptable(F.col(text))).withColumn(text, fold(strip(F.col(text))))
 
 
 def keep_lines(text: Column, least: int = 50, phrases: Iterable[str] = ()) -> Column:
@@ -89,8 +113,7 @@ def tokens(text: Column) -> Column:
 
 
 def unique_ratio(text: Column) -> Column:
-    w = tokens(text)
-    return F.when(F.size(w) > 0, F.size(F.array_distinct(w)) / F.size(w))
+    return let(tokens(text), lambda w: F.when(F.size(w) > 0, F.size(F.array_distinct(w)) / F.size(w)))
 
 
 def question_rejected(q: Column) -> Column:
@@ -157,9 +180,11 @@ def with_stop(text: Column) -> Column:
 
 def chunks(text: Column, size: int = 500) -> Column:
     """Runs of ``size`` words, joined by single spaces; none for a text without words."""
-    w = tokens(text)
-    starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(w) / size).cast("int") - 1, F.lit(0)))
-    return F.when(F.size(w) == 0, F.array().cast("array<string>")).otherwise(F.transform(starts, lambda k: F.array_join(F.slice(w, k * size + 1, size), " ")))
+    def cut(w: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(w) / size).cast("int") - 1, F.lit(0)))
+        return F.when(F.size(w) == 0, F.array().cast("array<string>")).otherwise(F.transform(starts, lambda k: F.array_join(F.slice(w, k * size + 1, size), " ")))
+
+    return let(tokens(text), cut)
 
 
 def shingle_tokens(text: Column) -> Column:
@@ -169,12 +194,18 @@ def shingle_tokens(text: Column) -> Column:
 
 def ngrams(toks: Column, n: int = 5, min_length: int = 5) -> Column:
     """Distinct lower-cased n-grams; a short list gives one short gram, one below ``min_length`` none."""
-    full = F.transform(F.sequence(F.lit(1), F.size(toks) - (n - 1)), lambda i: F.lower(F.array_join(F.slice(toks, i, n), " ")))
-    return F.array_distinct(F.when(F.size(toks) < min_length, F.array().cast("array<string>")).when(F.size(toks) < n, F.array(F.lower(F.array_join(toks, " ")))).otherwise(full))
+    def grams(w: Column) -> Column:
+        full = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.lower(F.array_join(F.slice(w, i, n), " ")))
+        return F.when(F.size(w) < min_length, F.array().cast("array<string>")).when(F.size(w) < n, F.array(F.lower(F.array_join(w, " ")))).otherwise(full)
+
+    return F.array_distinct(let(toks, grams))
 
 
 def char_ngrams(text: Column, n: int) -> Column:
-    return F.array_distinct(F.when(F.length(text) < n, F.array(text)).otherwise(F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substring(text, i, F.lit(n)))))
+    """Distinct n-grams of code points. The text is taken apart once, as finding a place in it takes its whole length."""
+    chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    grams = let(chars, lambda c: F.transform(F.sequence(F.lit(1), F.size(c) - (n - 1)), lambda i: F.array_join(F.slice(c, i, n), "")))
+    return F.array_distinct(F.when(F.length(text) < n, F.array(text)).otherwise(grams))
 
 
 def jaccard(a: Column, b: Column) -> Column:

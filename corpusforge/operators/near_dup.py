@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusforge.checkpoint import cut
 from corpusforge.functions.numeric import band_shape, minhash, permutations
 from corpusforge.operators.components import components
 
@@ -45,7 +46,7 @@ def signatures(docs: DataFrame, num_perm: int = 256, n: int = 5, min_length: int
 def bucket_edges(sigs: DataFrame, bands: int, rows: int) -> DataFrame:
     """Edges from each member of a bucket to its least member."""
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.xxhash64(k, F.slice("sig", k * rows + 1, rows)))
-    seats = sigs.select(F.col("doc_id").alias("u"), F.explode(keys).alias("key"))
+    seats = cut(sigs.select(F.col("doc_id").alias("u"), F.explode(keys).alias("key")))  # read twice; signatures are dear
     least = seats.groupBy("key").agg(F.min("u").alias("v"), F.max("u").alias("top")).where("v <> top").select("key", "v")
     return seats.join(least, "key").where("u <> v").select("u", "v").distinct()
 
@@ -65,3 +66,13 @@ def report(clusters: DataFrame) -> DataFrame:
     """Members of each cluster of several documents."""
     members = clusters.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("cluster"))).where("n > 1")
     return members.groupBy("cluster").agg(F.sort_array(F.collect_list("doc_id")).alias("members"))
+
+
+def cluster_rows(docs: DataFrame, clusters: DataFrame) -> DataFrame:
+    """All columns of the documents in clusters of several, with ``cluster``; counts are combined before the shuffle."""
+    many = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cluster")
+    return docs.join(clusters.join(many, "cluster", "left_semi"), "doc_id")
+
+
+def rows_of_cluster(docs: DataFrame, clusters: DataFrame, cluster_id: int) -> DataFrame:
+    return docs.join(clusters.where(F.col("cluster") == cluster_id), "doc_id")

@@ -27,6 +27,12 @@ def running_sum(df: DataFrame, order: list[str], value: Column, out: str, keys:
     return joined.withColumn(out, (F.col("_in") + F.col("_ahead")).cast("long")).drop("_v", "_pid", "_in", "_p", "_ahead", *[f"_k{i}" for i in range(len(keys))])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, if its scan has fewer partitions than there are cores; a table of many files stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * 2) if df.rdd.getNumPartitions() < cores * 2 else df
+
+
 def with_index(df: DataFrame, order: list[str], out: str = "idx", keys: list[str] | None = None) -> DataFrame:
     """Adds the place of each row (from 0) in the given order, per key if there are any."""
     return running_sum(df, order, F.lit(1).cast("long"), out, keys)

@@ -13,8 +13,9 @@ def pack(docs: DataFrame, tokens: Column, size: int, keys: list[str], order: lis
 
     What does not fill a block is dropped. A document is sliced once per block that it touches; no token becomes a row.
     """
-    sized = docs.select(*keys, *order, tokens.alias("_tokens")).where(F.size("_tokens") > 0)
-    placed = running_sum(sized, order, F.size("_tokens").cast("long"), "_at", keys)
+    sized = docs.select(*keys, *order, F.coalesce(tokens, F.array()).alias("_tokens"))
+    # filtered after the cut of running_sum: before it, the filter would compute the tokens a second time
+    placed = running_sum(sized, order, F.size("_tokens").cast("long"), "_at", keys).where(F.size("_tokens") > 0)
     first, last = F.floor(F.col("_at") / size), F.floor((F.col("_at") + F.size("_tokens") - 1) / size)
     pieces = placed.withColumn("block", F.explode(F.sequence(first, last)))
     begin = F.greatest(F.col("block") * size - F.col("_at"), F.lit(0))

@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as T
-from corpusforge.functions.numeric import permutations, span_lengths
+from corpusforge.functions.numeric import band_shape, permutations, span_lengths
 from corpusforge.operators import dialogs as D
 from corpusforge.operators import html as H
 from corpusforge.operators import near_dup as N
 from corpusforge.operators import packing as K
 from corpusforge.operators import records as R
 from corpusforge.operators import vectors as V
-from corpusforge.operators.ordering import with_index
+from corpusforge.operators.ordering import spread, with_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,16 +51,25 @@ def _any(column: str, words) -> str:
     return f"list_bool_or(list_transform({_quoted(words)}, lambda p: contains({column}, p)))"
 
 
-_RAW = """(SELECT doc_id, source, lang, CASE doc_id % 7 WHEN 0 THEN '  ' || text || ' 404 Not Found' WHEN 1 THEN text || '         x........' || repeat(chr(8230), 7) || chr(10) WHEN 2 THEN ' a ' ELSE text END AS text FROM documents)"""
+_PROBES = [
+    (-1, "  one page 404 Not Found", "'  one page 404 Not Found'"),
+    (-2, "a long tail" + " " * 9 + "x" + "." * 8 + "…" * 7 + "\n", "'a long tail         x........' || repeat(chr(8230), 7) || chr(10)"),
+    (-3, " a ", "' a '"),
+    (-4, "Login\n" + "a line of more than fifty characters that is kept in the page\n" + "please enable JavaScript in your browser. It is needed for this page", "'Login' || chr(10) || 'a line of more than fifty characters that is kept in the page' || chr(10) || 'please enable JavaScript in your browser. It is needed for this page'"),
+]
+_RAW = "(SELECT doc_id, source, lang, text FROM documents" + "".join(f" UNION ALL SELECT {i}, 'probe', 'en', {sql}" for i, _, sql in _PROBES) + ")"
 _FOLD = f"regexp_replace(regexp_replace(replace(%s, chr(8230), '.'), '{_WS}{{6,}}', '   ', 'g'), '\\.{{6,}}', '...', 'g')"
 
 
-def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with markers, long runs and short texts put in by their id, as the tables hold none."""
-    k = F.col("doc_id") % 7
-    tail = "         x........" + "…" * 7 + "\n"
-    text = F.when(k == 0, F.concat(F.lit("  "), "text", F.lit(" 404 Not Found"))).when(k == 1, F.concat("text", F.lit(tail))).when(k == 2, F.lit(" a ")).otherwise(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", text.alias("text"))
+def _probed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents and a few more rows with markers, long runs and short texts, which the tables do not hold."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
+    rows = F.array(*[F.struct(F.lit(i).cast("long").alias("doc_id"), F.lit("probe").alias("source"), F.lit("en").alias("lang"), F.lit(t).alias("text")) for i, t, _ in _PROBES])
+    return docs.unionByName(spark.range(1).select(F.inline(rows)))
+
+
+def _documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", *more))
 
 
 # Filters and cleaning ------------------------------------------------------------------------------------------
@@ -68,21 +77,21 @@ def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, c AS text FROM (SELECT doc_id, {_FOLD % (_STRIP % 'text')} AS c, {_any('text', T.markers())} AS bad FROM {_RAW}) WHERE NOT bad AND length(c) >= 3")
 def p4_clean_documents(spark, sf_dir):
-    return _marked(spark, sf_dir).select("doc_id", T.clean(F.col("text")).alias("text")).where("text IS NOT NULL")
+    return T.clean_documents(_probed(spark, sf_dir)).select("doc_id", "text")
 
 
 @query(f"SELECT marker, count(*)::BIGINT AS n FROM (SELECT text, unnest({_quoted(T.markers())}) AS marker FROM {_RAW}) WHERE contains(text, marker) GROUP BY 1")
 def f1_reject_audit(spark, sf_dir):
     held = F.array_compact(F.array(*[F.when(F.col("text").contains(m), F.lit(m)) for m in T.markers()]))
-    return _marked(spark, sf_dir).select(F.explode(held).alias("marker")).groupBy("marker").agg(F.count(F.lit(1)).alias("n"))
+    return _probed(spark, sf_dir).select(F.explode(held).alias("marker")).groupBy("marker").agg(F.count(F.lit(1)).alias("n"))
 
 
 _LINE = T.SNAPSHOT_EXTRA + T.markers()
 
 
-@query(f"SELECT doc_id, array_to_string(list_filter(string_split(text, chr(10)), lambda l: length(l) > 50 AND NOT {_any('l', _LINE)}), chr(10)) AS text FROM {_RAW}".replace("lambda p: contains(l, p)", "lambda p: contains(l, p)"))
+@query(f"SELECT doc_id, array_to_string(list_filter(string_split(text, chr(10)), lambda l: length(l) > 50 AND NOT {_any('l', _LINE)}), chr(10)) AS text FROM {_RAW}")
 def f3_line_filter(spark, sf_dir):
-    return _marked(spark, sf_dir).select("doc_id", T.keep_lines(F.col("text"), 50, _LINE).alias("text"))
+    return _probed(spark, sf_dir).select("doc_id", T.keep_lines(F.col("text"), 50, _LINE).alias("text"))
 
 
 @query("SELECT doc_id FROM documents WHERE NOT (contains(lower('<s>' || text || '</s>'), 'the of') OR contains(lower('<s>' || text || '</s>'), 'de la '))")
@@ -176,7 +185,7 @@ def _chunk_sql(size: int, wrap: str) -> str:
 
 def _chunked(spark, sf_dir, size: int, before: str, after: str) -> DataFrame:
     wrapped = F.concat(F.lit(before), "text", F.lit(after))
-    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(T.chunks(wrapped, size)).alias("pos", "chunk"))
+    return _documents(spark, sf_dir).select("doc_id", F.posexplode(T.chunks(wrapped, size)).alias("pos", "chunk"))
 
 
 @query(_chunk_sql(500, "'<s>' || text || '</s>'"))
@@ -205,7 +214,7 @@ def p10_replace_chain(spark, sf_dir):
 
 @query(f"SELECT doc_id, regexp_replace(regexp_replace(lower({_STRIP % 'text'}), '\\p{{Nd}}', '0', 'g'), '[\\p{{P}}\\p{{C}}\\p{{S}}]+', '', 'g') AS text FROM {_RAW}")
 def p11_normalize(spark, sf_dir):
-    return _marked(spark, sf_dir).select("doc_id", T.normalize_line(F.col("text")).alias("text"))
+    return _probed(spark, sf_dir).select("doc_id", T.normalize_line(F.col("text")).alias("text"))
 
 
 @query("SELECT doc_id, translate(text, '!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~', '') AS text FROM documents")
@@ -266,18 +275,11 @@ _CHARS = "list_distinct(CASE WHEN length(%s) < 8 THEN [%s] ELSE list_transform(r
 _A, _B = (_CHARS.replace("%s", x) for x in ("a", "b"))
 
 
-@query(f"SELECT doc_id, len(list_intersect(x, y)) / greatest(len(list_distinct(list_concat(x, y))), 1) AS jaccard FROM (SELECT doc_id, {_A} AS x, {_B} AS y FROM (SELECT doc_id, substr(text, 1, 300) AS a, lead(substr(text, 1, 300)) OVER (PARTITION BY source ORDER BY doc_id) AS b FROM documents) WHERE b IS NOT NULL)")
+@query(f"SELECT doc_id, len(list_intersect(x, y)) / greatest(len(list_distinct(list_concat(x, y))), 1) AS jaccard FROM (SELECT doc_id, {_A} AS x, {_B} AS y FROM (SELECT doc_id, text AS a, lead(text) OVER (PARTITION BY source ORDER BY doc_id) AS b FROM documents) WHERE b IS NOT NULL)")
 def h7_jaccard_pairs(spark, sf_dir):
-    opening = F.substring("text", 1, 300)  # the operator compares short strings
-    d = table(spark, sf_dir, "documents").select("doc_id", opening.alias("a"), F.lead(opening).over(Window.partitionBy("source").orderBy("doc_id")).alias("b")).where("b IS NOT NULL")
-    return d.select("doc_id", T.jaccard(T.char_ngrams(F.col("a"), 8), T.char_ngrams(F.col("b"), 8)).alias("jaccard"))
-
-
-@query()
-def h7_jaccard_whole(spark, sf_dir):
-    """As ``h7_jaccard_pairs``, over whole texts."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("a"), F.lead("text").over(Window.partitionBy("source").orderBy("doc_id")).alias("b")).where("b IS NOT NULL")
-    return d.select("doc_id", T.jaccard(T.char_ngrams(F.col("a"), 8), T.char_ngrams(F.col("b"), 8)).alias("jaccard"))
+    placed = with_index(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), ["doc_id"], "i", ["source"])
+    d = placed.select("source", "i", "doc_id", F.col("text").alias("a")).join(placed.select("source", (F.col("i") - 1).alias("i"), F.col("text").alias("b")), ["source", "i"])
+    return d.where("b IS NOT NULL").select("doc_id", T.jaccard(T.char_ngrams(F.col("a"), 8), T.char_ngrams(F.col("b"), 8)).alias("jaccard"))
 
 
 _SPLIT = r"string_split_regex(text, '[^\p{L}\p{N}_]')"
@@ -286,42 +288,67 @@ _GRAMS = "list_distinct(CASE WHEN len(w) < 5 THEN [] ELSE list_transform(range(1
 
 @query(f"SELECT doc_id, len({_GRAMS})::BIGINT AS n FROM (SELECT doc_id, {_SPLIT} AS w FROM documents)")
 def d1_shingle_counts(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(T.ngrams(T.shingle_tokens(F.col("text")))).cast("long").alias("n"))
+    return _documents(spark, sf_dir).select("doc_id", F.size(T.ngrams(T.shingle_tokens(F.col("text")))).cast("long").alias("n"))
+
+
+def _perm_sql(k: int, a: int, b: int) -> str:
+    return f"min((((h * {a} + {b}) % 18446744073709551616) % 2305843009213693951) % 4294967296) AS m{k}"
+
+
+def _sigs_sql(min_length: int = 5, num_perm: int = 256) -> str:
+    """Common table expressions up to ``s(doc_id, sig)``: all minima of every document."""
+    least = _GRAMS.replace("len(w) < 5 THEN []", f"len(w) < {min_length} THEN [] WHEN len(w) < 5 THEN [lower(array_to_string(w, ' '))]")
+    minima = ", ".join(_perm_sql(k, int(a), int(b)) for k, (a, b) in enumerate(zip(*permutations(num_perm))))
+    return f"g AS (SELECT doc_id, unnest({least}) AS g FROM (SELECT doc_id, {_SPLIT} AS w FROM documents)), h AS MATERIALIZED (SELECT doc_id, {_SHA}::HUGEINT AS h FROM (SELECT doc_id, sha1(g) AS h FROM g)), m AS (SELECT doc_id, {minima} FROM h GROUP BY 1), s AS (SELECT doc_id, [{", ".join(f"coalesce(m{k}, 4294967295)::BIGINT" for k in range(num_perm))}] AS sig FROM documents LEFT JOIN m USING (doc_id))"
 
 
-def _perm_sql(k: int) -> str:
-    a, b = (int(x[k]) for x in permutations(4))
-    return f"min((((h * {a} + {b}) % 18446744073709551616) % 2305843009213693951) % 4294967296)::BIGINT AS m{k}"
+def _edges_sql(threshold: float, min_length: int = 5) -> str:
+    """As ``_sigs_sql``, then ``e(u, v)``: edges of the bands that the threshold asks for."""
+    bands, rows = band_shape(threshold, 256)
+    return f"{_sigs_sql(min_length)}, k AS (SELECT doc_id, band, sig[band * {rows} + 1 : (band + 1) * {rows}] AS key FROM s, range({bands}) r(band)), e AS (SELECT DISTINCT u, v FROM (SELECT doc_id AS u, min(doc_id) OVER (PARTITION BY band, key) AS v FROM k) WHERE u <> v)"
 
 
-@query(f"WITH g AS (SELECT doc_id, unnest({_GRAMS}) AS g FROM (SELECT doc_id, {_SPLIT} AS w FROM documents)), h AS (SELECT doc_id, {_SHA}::HUGEINT AS h FROM (SELECT doc_id, sha1(g) AS h FROM g)), m AS (SELECT doc_id, {', '.join(_perm_sql(k) for k in range(4))} FROM h GROUP BY 1) SELECT d.doc_id, {', '.join(f'coalesce(m{k}, 4294967295) AS m{k}' for k in range(4))} FROM documents d LEFT JOIN m USING (doc_id)")
-def d2_minhash_sig4(spark, sf_dir):
-    return N.signatures(table(spark, sf_dir, "documents"), 4).select("doc_id", *[F.get("sig", F.lit(k)).alias(f"m{k}") for k in range(4)])
+def _clusters_sql(threshold: float, rest: str) -> str:
+    """The query ``rest`` over ``c(doc_id, cluster)``; clusters by the least id that a walk over edges reaches."""
+    return f"WITH RECURSIVE {_edges_sql(threshold, 1)}, b AS (SELECT u, v FROM e UNION SELECT v, u FROM e), walk AS (SELECT u AS doc_id, u AS cluster FROM b UNION SELECT b.u, walk.cluster FROM walk JOIN b ON b.v = walk.doc_id), c AS (SELECT d.doc_id, coalesce(min(cluster), d.doc_id) AS cluster FROM documents d LEFT JOIN walk USING (doc_id) GROUP BY d.doc_id) {rest}"
 
 
-@query(f"WITH g AS (SELECT doc_id, unnest({_GRAMS}) AS g FROM (SELECT doc_id, {_SPLIT} AS w FROM documents)), h AS (SELECT doc_id, {_SHA}::HUGEINT AS h FROM (SELECT doc_id, sha1(g) AS h FROM g)), m AS (SELECT doc_id, {', '.join(_perm_sql(k) for k in range(4))} FROM h GROUP BY 1), s AS (SELECT d.doc_id, {', '.join(f'coalesce(m{k}, 4294967295) AS m{k}' for k in range(4))} FROM documents d LEFT JOIN m USING (doc_id)), e AS (SELECT doc_id AS u, min(doc_id) OVER (PARTITION BY m0, m1) AS v FROM s UNION ALL SELECT doc_id, min(doc_id) OVER (PARTITION BY m2, m3) FROM s) SELECT DISTINCT u, v FROM e WHERE u <> v")
+@query(_clusters_sql(0.7, "SELECT s.doc_id, md5(array_to_string(sig, ',')) AS sig FROM s JOIN c USING (doc_id)"))
+def d2_minhash_sig256(spark, sf_dir):
+    """All 256 minima of every document, as a digest."""
+    return N.signatures(_documents(spark, sf_dir), min_length=1).select("doc_id", F.md5(F.array_join(F.col("sig").cast("array<string>"), ",")).alias("sig"))
+
+
+@query(_clusters_sql(0.7, "SELECT DISTINCT u, v FROM e JOIN c ON c.doc_id = u"))
 def d4_lsh_edges(spark, sf_dir):
-    return N.bucket_edges(N.signatures(table(spark, sf_dir, "documents"), 4), 2, 2)
+    return N.bucket_edges(N.signatures(_documents(spark, sf_dir), min_length=1), *band_shape(0.7, 256))
 
 
-@query()
+@query(_clusters_sql(0.95, "SELECT doc_id FROM c WHERE cluster = doc_id"))
 def d6_minhash_dedup_095(spark, sf_dir):
-    return N.representatives(N.cluster(table(spark, sf_dir, "documents"), 0.95, min_length=1))
+    return N.representatives(N.cluster(_documents(spark, sf_dir), 0.95, min_length=1))
 
 
-@query()
+@query(_clusters_sql(0.7, "SELECT doc_id FROM c WHERE cluster = doc_id"))
 def d6_minhash_dedup_070(spark, sf_dir):
-    return N.representatives(N.cluster(table(spark, sf_dir, "documents"), 0.7, min_length=1))
+    return N.representatives(N.cluster(_documents(spark, sf_dir), 0.7, min_length=1))
 
 
-@query()
+@query(_clusters_sql(0.7, "SELECT cluster, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS members FROM c GROUP BY 1 HAVING count(*) > 1"))
 def d7_duplicate_report(spark, sf_dir):
-    return N.report(N.cluster(table(spark, sf_dir, "documents"), 0.7, min_length=1)).select("cluster", F.array_join("members", ",").alias("members"))
+    return N.report(N.cluster(_documents(spark, sf_dir), 0.7, min_length=1)).select("cluster", F.array_join("members", ",").alias("members"))
 
 
-@query()
+@query(_clusters_sql(0.7, "SELECT doc_id, cluster, n_chars FROM c JOIN documents USING (doc_id) WHERE cluster IN (SELECT cluster FROM c GROUP BY 1 HAVING count(*) > 1)"))
+def d13_k4_cluster_rows(spark, sf_dir):
+    """Rows of clusters of several documents, with the cluster that each belongs to."""
+    docs = _documents(spark, sf_dir, "n_chars")
+    return N.cluster_rows(docs, N.cluster(docs, 0.7, min_length=1)).select("doc_id", "cluster", "n_chars")
+
+
+@query(_clusters_sql(0.95, "SELECT doc_id FROM c WHERE cluster <> doc_id"))
 def d12_missing_ids(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     return docs.select("doc_id").join(N.representatives(N.cluster(docs, 0.95, min_length=1)), "doc_id", "left_anti")
 
 
@@ -399,8 +426,8 @@ def a3_compare_tokenizers(spark, sf_dir):
 
 @query(f"SELECT 'raw' AS stage, count(*)::BIGINT AS docs, sum(octet_length(encode(text)))::BIGINT AS bytes FROM {_RAW} UNION ALL SELECT 'clean', count(*)::BIGINT, sum(octet_length(encode(c)))::BIGINT FROM (SELECT {_FOLD % (_STRIP % 'text')} AS c, {_any('text', T.markers())} AS bad FROM {_RAW}) WHERE NOT bad AND length(c) >= 3")
 def a9_stage_sizes(spark, sf_dir):
-    raw = _marked(spark, sf_dir)
-    c = raw.select(T.clean(F.col("text")).alias("text")).where("text IS NOT NULL")
+    raw = _probed(spark, sf_dir)
+    c = T.clean_documents(raw.select("text"))
     return raw.select(F.lit("raw").alias("stage"), "text").unionByName(c.withColumn("stage", F.lit("clean"))).groupBy("stage").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.octet_length("text")).cast("long").alias("bytes"))
 
 
@@ -441,11 +468,13 @@ def w8_slices(spark, sf_dir):
     return with_index(d, ["doc_id"]).where(F.col("idx") < each * 7).select("doc_id", F.floor(F.col("idx") / each).alias("slice"))
 
 
-@query("SELECT doc_id, 0 AS rank FROM documents WHERE source = 'src1' UNION ALL SELECT doc_id, 1 FROM documents WHERE source = 'src2' UNION ALL SELECT doc_id, 2 FROM documents WHERE source = 'src1'")
+@query("WITH r AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS rank, count(*) OVER () AS n FROM (SELECT DISTINCT source FROM documents)) SELECT doc_id, rank::BIGINT AS rank FROM documents d JOIN r ON d.source IS NOT DISTINCT FROM r.source UNION ALL SELECT doc_id, n::BIGINT FROM documents d JOIN r ON d.source IS NOT DISTINCT FROM r.source WHERE rank = 0")
 def u4_union_all_dup(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    parts = [d.where(F.col("source") == s).select("doc_id", F.lit(k).alias("rank")) for k, s in enumerate(("src1", "src2", "src1"))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """All sources in order, the first named twice, as a list of files may."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "source")
+    named = with_index(d.select("source").distinct(), ["source"], "rank")
+    listed = named.unionByName(named.where("rank = 0").withColumn("rank", F.lit(named.count()).cast("long")))
+    return d.join(F.broadcast(listed.withColumnRenamed("source", "_s")), F.col("source").eqNullSafe(F.col("_s"))).select("doc_id", "rank")
 
 
 @query("SELECT event_id, list_filter(json_keys(props), lambda k: suffix(k, 'k') OR suffix(k, 'e'))[1] AS key FROM events")
@@ -525,7 +554,7 @@ def _pack_sql(size: int, key: str) -> str:
 
 
 def _packed(d: DataFrame, size: int) -> DataFrame:
-    return K.pack(d, T.tokens(F.col("text")), size, ["part"], ["doc_id"]).select("part", "block", F.array_join("tokens", " ").alias("text"))
+    return K.pack(spread(d), T.tokens(F.col("text")), size, ["part"], ["doc_id"]).select("part", "block", F.array_join("tokens", " ").alias("text"))
 
 
 @query(_pack_sql(128, "source"))
@@ -553,7 +582,7 @@ def a2_total_tokens(spark, sf_dir):
 @query()
 def e1_pipeline(spark, sf_dir):
     """Clean, drop near duplicates, filter, chunk and pack."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
     kept = docs.join(N.representatives(N.cluster(docs, 0.95, min_length=1)), "doc_id", "left_semi")
-    good = kept.withColumn("text", T.clean(F.col("text"))).where(F.col("text").isNotNull() & ~T.contains_any(F.lower("text"), T.EXAM_PHRASES))
+    good = T.clean_documents(kept).where(~T.contains_any(F.lower("text"), T.EXAM_PHRASES))
     return _packed(good.withColumn("text", F.concat(F.lit("<s>"), "text", F.lit("</s>"))).withColumn("part", F.col("source")), 128)

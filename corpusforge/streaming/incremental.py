@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from corpusforge.functions.text import clean
+from corpusforge.functions.text import clean_documents
 
 
 def first_seen(stream: DataFrame, key: str, time: str, delay: str = "1 day") -> DataFrame:
@@ -14,4 +13,4 @@ def first_seen(stream: DataFrame, key: str, time: str, delay: str = "1 day") ->
 
 
 def cleaned(stream: DataFrame, text: str = "text") -> DataFrame:
-    return stream.withColumn(text, clean(F.col(text))).where(F.col(text).isNotNull())
+    return clean_documents(stream, text)

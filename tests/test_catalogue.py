@@ -32,7 +32,7 @@ def test_jaccard_of_whole_texts(spark, tmp_path):
     texts = ["same " * 80 + end for end in ("one ending of a text", "quite another close", "one ending of a book")]
     spark.createDataFrame([(i, "s", t) for i, t in enumerate(texts)], "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
     sets = [{t[i : i + 8] for i in range(len(t) - 7)} for t in texts]
-    got = {r["doc_id"]: r["jaccard"] for r in catalogue.QUERIES["h7_jaccard_whole"](spark, str(tmp_path)).collect()}
+    got = {r["doc_id"]: r["jaccard"] for r in catalogue.QUERIES["h7_jaccard_pairs"](spark, str(tmp_path)).collect()}
     assert got == pytest.approx({i: len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(2)})
 
 
