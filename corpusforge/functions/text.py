@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable
 from functools import reduce
 from operator import or_
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -217,3 +218,67 @@ def sha1_low(text: Column, bits: int = 32) -> Column:
     h = F.sha1(text)
     rev = F.concat(*[F.substring(h, 2 * i + 1, 2) for i in reversed(range(bits // 8))])
     return F.conv(rev, 16, 10).cast("decimal(20,0)")
+
+
+def transcript_rejected(text: Column, other: Column) -> Column:
+    """True if a transcript closes like a video, or either side has fewer than 10 characters or too few different words."""
+    ratio = F.least(unique_ratio(text), unique_ratio(other))
+    bad = contains_any(F.lower(text), CLOSING_PHRASES) | (F.length(text) < 10) | (F.length(other) < 10) | (ratio < 0.5)
+    return F.coalesce(bad, F.lit(True))
+
+
+def has_fence(text: Column) -> Column:
+    return F.coalesce(text.contains("```"), F.lit(False))
+
+
+def scores_accepted(scores: Column, threshold: float = -15.0) -> Column:
+    """True if no score is at or below the threshold."""
+    return ~F.exists(scores, lambda s: s <= threshold)
+
+
+def titled(title: Column, body: Column) -> Column:
+    """Title, blank line, body; null if either is null."""
+    return F.concat(title, F.lit("\n\n"), body)
+
+
+def base_name(path: Column) -> Column:
+    return F.regexp_extract(path, "([^/]*)$", 1)
+
+
+def rebased(root: str, path: Column) -> Column:
+    """The path below ``root``; an absolute path stays."""
+    return F.when(path.startswith("/"), path).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path))
+
+
+def numeric_suffix(name: Column) -> Column:
+    """The number behind the last ``-`` of a name, for sorting shards."""
+    return F.regexp_extract(name, r"-([0-9]+)$", 1).try_cast("long")
+
+
+def rms_gain(samples: Column, least: float = 0.1) -> Column:
+    """The factor that lifts samples to the least root mean square; 1 for louder ones, null for silence or no samples."""
+    rms = F.sqrt(F.aggregate(samples, F.lit(0.0), lambda a, x: a + x * x) / F.size(samples))
+    return F.when((F.size(samples) > 0) & (rms > 0), F.greatest(F.lit(least) / rms, F.lit(1.0)))
+
+
+def speech_frames(frames: Column, reference: Column, speech: Column, speed: float = 1.0) -> Column:
+    """Frames that the speech takes if it is spoken as the reference is, by UTF-8 bytes."""
+    return F.floor(frames / F.octet_length(reference) * F.octet_length(speech) / speed).cast("long")
+
+
+def megabytes(size: Column) -> Column:
+    return F.format_string("%.2f MB", size / F.lit(1024.0 * 1024.0))
+
+
+def xxh3(text: Column, bits: int = 64, seed: int = 0) -> Column:
+    """The low ``bits`` (16, 32 or 64, unsigned) of XXH3 of the text, or all 128 as a decimal; a null text is empty."""
+    import xxhash
+
+    whole = xxhash.xxh3_128_intdigest if bits == 128 else xxhash.xxh3_64_intdigest
+    mask, unsigned_seed = (1 << bits) - 1, seed % (1 << 64)
+
+    @F.pandas_udf("string")
+    def digest(t: pd.Series) -> pd.Series:
+        return t.map(lambda x: str(whole((x or "").encode(), seed=unsigned_seed) & mask))
+
+    return digest(text) if bits == 128 else digest(text).cast("decimal(20,0)")

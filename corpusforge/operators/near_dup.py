@@ -27,17 +27,30 @@ def _grams(text: str, n: int, min_length: int) -> set[str]:
     return {" ".join(toks[i : i + n]).lower() for i in range(len(toks) - n + 1)}
 
 
-def signatures(docs: DataFrame, num_perm: int = 256, n: int = 5, min_length: int = 5) -> DataFrame:
+def _hasher(hash_func: str, bits: int):
+    """A gram's hash as little-endian bytes; 64-bit signatures take 32 bits of SHA-1, as the permutations' values do."""
+    size = min(bits, 32) // 8
+    if hash_func == "sha1":
+        return lambda g: hashlib.sha1(g).digest()[:size]
+    if hash_func != "xxh3":
+        raise ValueError(f"unknown hash {hash_func}")
+    import xxhash
+
+    return lambda g: (xxhash.xxh3_64_intdigest(g) & ((1 << 8 * size) - 1)).to_bytes(size, "little")
+
+
+def signatures(docs: DataFrame, num_perm: int = 256, n: int = 5, min_length: int = 5, hash_func: str = "sha1", bits: int = 64, seed: int = 42) -> DataFrame:
     """``doc_id, sig`` of every document; a null text counts as empty."""
-    a, b = permutations(num_perm)
+    a, b = permutations(num_perm, bits, seed)
+    hashed, kind = _hasher(hash_func, bits), f"<u{min(bits, 32) // 8}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for t in batch.column("text").to_pylist():
                 grams = _grams(t or "", n, min_length)
-                hashes = np.frombuffer(b"".join(hashlib.sha1(g.encode()).digest()[:4] for g in grams), dtype="<u4")
-                out.append(minhash(hashes, a, b).astype(np.int64))
+                hashes = np.frombuffer(b"".join(hashed(g.encode()) for g in grams), dtype=kind)
+                out.append(minhash(hashes, a, b, bits).astype(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.list_(pa.int64()))], names=["doc_id", "sig"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, sig array<long>")
@@ -51,10 +64,10 @@ def bucket_edges(sigs: DataFrame, bands: int, rows: int) -> DataFrame:
     return seats.join(least, "key").where("u <> v").select("u", "v").distinct()
 
 
-def cluster(docs: DataFrame, threshold: float = 0.7, num_perm: int = 256, n: int = 5, min_length: int = 5, shape: tuple[int, int] | None = None) -> DataFrame:
-    """``doc_id, cluster``: the least doc_id that a chain of shared buckets connects."""
+def cluster(docs: DataFrame, threshold: float = 0.7, num_perm: int = 256, n: int = 5, min_length: int = 5, shape: tuple[int, int] | None = None, **hashing) -> DataFrame:
+    """``doc_id, cluster``: the least doc_id that a chain of shared buckets connects. ``hashing`` goes to ``signatures``."""
     bands, rows = shape or band_shape(threshold, num_perm)
-    labels = components(bucket_edges(signatures(docs, num_perm, n, min_length), bands, rows))
+    labels = components(bucket_edges(signatures(docs, num_perm, n, min_length, **hashing), bands, rows))
     return docs.select("doc_id").join(labels.select(F.col("node").alias("doc_id"), "label"), "doc_id", "left").select("doc_id", F.coalesce("label", "doc_id").alias("cluster"))
 
 

@@ -15,10 +15,21 @@ def fields_to_text(record: Column, keys: list[str] = TEXT_KEYS) -> Column:
     return F.when(F.size(wanted) > 0, F.array_join(F.transform(wanted, lambda k: F.coalesce(F.element_at(values, k), F.lit("None"))), "\n\n"))
 
 
-def flatten_record(record: Column) -> Column:
-    """One line ``key: value`` per field in record order; underscores in keys are spaces."""
+def flatten_record(record: Column, least: int = 0) -> Column:
+    """One line ``key: value`` per field in record order; underscores in keys are spaces, items of a list are lines.
+
+    Fields whose value, before it is folded, has fewer than ``least`` characters are left out.
+    """
     values = F.from_json(record, "map<string,string>")
-    return F.array_join(F.transform(F.json_object_keys(record), lambda k: strip(F.concat(F.replace(k, F.lit("_"), F.lit(" ")), F.lit(": "), fold(F.coalesce(F.element_at(values, k), F.lit("None")))))), "\n")
+
+    def shown(k: Column) -> Column:
+        v = F.element_at(values, k)
+        items = F.from_json(v, "array<string>")
+        listed = F.when(v.startswith("[") & items.isNotNull(), F.array_join(F.transform(items, lambda x: F.coalesce(x, F.lit("None"))), "\n"))
+        return F.coalesce(listed, v, F.lit("None"))
+
+    kept = F.filter(F.json_object_keys(record), lambda k: F.length(shown(k)) >= least)
+    return F.array_join(F.transform(kept, lambda k: strip(F.concat(F.replace(k, F.lit("_"), F.lit(" ")), F.lit(": "), fold(shown(k))))), "\n")
 
 
 def map_lines(record: Column) -> Column:

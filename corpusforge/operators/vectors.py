@@ -48,3 +48,8 @@ def leaders(ids: DataFrame, edges: DataFrame) -> DataFrame:
         open_ = cut(open_.join(got, "vec_id", "left_anti"))
         done = got if done is None else done.unionByName(got)
     return done if done is not None else ids.select("vec_id", F.col("vec_id").alias("leader"))
+
+
+def singletons(ids: DataFrame, edges: DataFrame) -> DataFrame:
+    """Ids that are alone in their group; leaders of larger groups do not stay, unlike with ``leaders``."""
+    return leaders(ids, edges).groupBy("leader").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select(F.col("leader").alias("vec_id"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -262,13 +261,8 @@ def h1_hashes(spark, sf_dir):
 
 @query()
 def h4_xxh3(spark, sf_dir):
-    import xxhash
-
-    @F.pandas_udf("long")
-    def xxh3_32(t: pd.Series) -> pd.Series:
-        return t.map(lambda x: xxhash.xxh3_64_intdigest(x or "") & 0xFFFFFFFF)
-
-    return table(spark, sf_dir, "documents").select("doc_id", xxh3_32("text").alias("xxh3_32"))
+    t = F.col("text")
+    return table(spark, sf_dir, "documents").select("doc_id", *[T.xxh3(t, n).alias(f"xxh3_{n}") for n in (16, 32, 64, 128)])
 
 
 _CHARS = "list_distinct(CASE WHEN length(%s) < 8 THEN [%s] ELSE list_transform(range(1, length(%s) - 6), lambda i: substr(%s, i, 8)) END)"

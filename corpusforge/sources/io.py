@@ -21,8 +21,8 @@ def jsonl_strings(spark: SparkSession, path: str) -> DataFrame:
 def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Elements of files that hold one array each; elements that are JSON text themselves are parsed too."""
     whole = spark.read.text(path, wholetext=True)
-    item = F.explode(F.from_json("value", "array<string>"))
-    return whole.select(F.from_json(item, schema).alias("r")).select("r.*")
+    items = whole.select(F.explode(F.from_json("value", "array<string>")).alias("item"))
+    return items.select(F.from_json("item", schema).alias("r")).select("r.*")
 
 
 def csv_without_last(spark: SparkSession, path: str, drop: int = 2) -> DataFrame:
@@ -77,3 +77,86 @@ def write_blocks(df: DataFrame, path: str, rows: int) -> None:
 def pending(items: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Items that an earlier run has not written."""
     return items.join(done.select(key).distinct(), key, "left_anti")
+
+
+def arrow_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of Arrow stream files; each file is one task, read batch by batch."""
+    import pyarrow as pa
+
+    def run(batches):
+        for b in batches:
+            for content in b.column("content"):
+                with pa.ipc.open_stream(pa.py_buffer(content.as_buffer())) as reader:
+                    yield from reader
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, schema)
+
+
+def head_of_files(spark: SparkSession, path: str, rows: int) -> DataFrame:
+    """``value, source`` of the first lines of text files, for a look at them; Spark stops reading when it has enough."""
+    return spark.read.text(path).select("value", F.col("_metadata.file_name").alias("source")).limit(rows)
+
+
+def read_blocks(spark: SparkSession, *paths: str) -> DataFrame:
+    """Token blocks of several folders with the folder's place in the list (``shard``); a missing folder is an error."""
+    parts = [spark.read.parquet(p).withColumn("shard", F.lit(k)) for k, p in enumerate(paths)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def by_suffix(paths: list[str]) -> list[str]:
+    """Folders in the order of the number behind their last ``-``; others first, by name."""
+
+    def place(p: str) -> tuple[int, str]:
+        end = p.rstrip("/").rsplit("-", 1)[-1]
+        return (int(end) if end.isdigit() else -1, p)
+
+    return sorted(paths, key=place)
+
+
+def merge_blocks(spark: SparkSession, paths: list[str], out: str, rows: int) -> None:
+    """Folders of blocks as one, in the order of their numeric suffixes; nothing is shuffled."""
+    write_blocks(read_blocks(spark, *by_suffix(paths)), out, rows)
+
+
+def write_table(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
+def write_reports(docs: DataFrame, clusters: DataFrame, path: str) -> None:
+    """Members of each cluster of several documents as CSV, and all rows of these documents as JSON lines."""
+    from corpusforge.operators.near_dup import cluster_rows, report
+
+    pairs = report(clusters).select(F.col("cluster").alias("Cluster"), F.concat(F.lit("["), F.array_join("members", ", "), F.lit("]")).alias("Duplicate Pair"))
+    pairs.write.mode("overwrite").csv(f"{path}/duplicates_pair", header=True)
+    cluster_rows(docs, clusters).withColumnRenamed("cluster", "__cluster__").write.mode("overwrite").json(f"{path}/duplicates_cluster")
+
+
+def write_parts(df: DataFrame, path: str, order: list[str], rows: int) -> None:
+    """JSON lines in folders ``part=k`` of ``rows`` rows each in the given order."""
+    from corpusforge.operators.ordering import with_index
+
+    placed = with_index(df, order, "_i").withColumn("part", F.floor(F.col("_i") / rows)).drop("_i")
+    placed.repartitionByRange("part").write.mode("overwrite").partitionBy("part").json(path)
+
+
+def mark_done(df: DataFrame, path: str, key: str) -> None:
+    """Adds the keys of finished items to the manifest that ``not_done`` reads."""
+    df.select(F.col(key).cast("string").alias("key")).distinct().write.mode("append").parquet(path)
+
+
+def not_done(items: DataFrame, path: str, key: str) -> DataFrame:
+    """Items that the manifest does not name; all of them while there is none."""
+    spark = items.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return items
+    done = spark.read.parquet(path).select(F.col("key").alias("_done")).distinct()
+    return items.join(done, F.col(key).cast("string") == F.col("_done"), "left_anti")
+
+
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """``file, bytes`` of files, without reading them."""
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.col("length").alias("bytes"))
