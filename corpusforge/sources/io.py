@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io as bytes_io
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,11 +41,6 @@ def legacy_text(spark: SparkSession, path: str) -> DataFrame:
 
 def npy_matrix(spark: SparkSession, path: str) -> DataFrame:
     """``path, embedding`` of one-vector ``.npy`` files."""
-    import io as bytes_io
-
-    import numpy as np
-    import pandas as pd
-
     @F.pandas_udf("array<float>")
     def vector(content: pd.Series) -> pd.Series:
         return content.map(lambda b: np.load(bytes_io.BytesIO(b)).astype(np.float32).ravel())
@@ -81,7 +81,6 @@ def pending(items: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 def arrow_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of Arrow stream files; each file is one task, read batch by batch."""
-    import pyarrow as pa
 
     def run(batches):
         for b in batches:
