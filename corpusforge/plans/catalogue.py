@@ -577,6 +577,6 @@ def a2_total_tokens(spark, sf_dir):
 def e1_pipeline(spark, sf_dir):
     """Clean, drop near duplicates, filter, chunk and pack."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
-    kept = docs.join(N.representatives(N.cluster(docs, 0.95, min_length=1)), "doc_id", "left_semi")
-    good = T.clean_documents(kept).where(~T.contains_any(F.lower("text"), T.EXAM_PHRASES))
+    good = T.clean_documents(docs).where(~T.contains_any(F.lower("text"), T.EXAM_PHRASES))
+    good = good.join(N.representatives(N.cluster(docs, 0.95, min_length=1)), "doc_id", "left_semi")
     return _packed(good.withColumn("text", F.concat(F.lit("<s>"), "text", F.lit("</s>"))).withColumn("part", F.col("source")), 128)
