@@ -7,7 +7,8 @@
    overlap from above; pairs below the bound that their sizes ask for are discarded. First, classes are only counted
    against the least class of each bucket, and those that share half of what is asked for make up provisional
    diagonal blocks of the product. Then the pairs across these blocks, few by now, are counted in full, and those at
-   the bound join their blocks; the blocks that meet in a bucket too large for that are joined without counting.
+   the bound join their blocks. A bucket's pairs number its seats times those outside of its main block; where that is
+   too many, for the bucket or for all of them, the blocks that meet in the bucket are joined without counting.
    No pair that can link is left outside of a block.
 3. A block too large for one task is dealt into sub-blocks, and each pair of these is a unit of its own.
 4. Within a unit, the overlap counts of a row with all others accumulate over its n-gram columns, rarest first. Rows
@@ -46,10 +47,14 @@ class JoinConfig:
     percent: int = 75
     #: Shingles that occur this often within one input split are candidates for the end of the order.
     frequent_in_split: int = 2
-    #: Length of the list of frequent shingles, the most frequent first; it is broadcast.
-    frequent_list: int = 200_000
-    #: Seats of a bucket up to which its pairs across blocks are counted one by one.
+    #: Most shingles in the list of frequent ones, which is broadcast. It must hold those that texts share by chance, or
+    #: their buckets join blocks that have nothing else in common.
+    frequent_list: int = 2_000_000
+    #: Seats of a bucket up to which its pairs across blocks are always counted one by one; the pairs of larger buckets
+    #: are, smallest first, up to so many for each seat of all, and so many in a bucket.
     pair_bucket: int = 64
+    pairs_per_seat: int = 1
+    pairs_in_bucket: int = 1 << 20
     #: Shingles (with repeats across documents) that one unit of the product holds.
     unit_shingles: int = 2_000_000
 
@@ -163,6 +168,45 @@ def _alike(a: str, b: str, percent: int):
     return 100 * F.least(F.col(a), F.col(b)) >= percent * F.greatest(F.col(a), F.col(b))
 
 
+def _most_frequent(counts: DataFrame, most: int) -> np.ndarray:
+    """The shingles of ``counts`` (``h, n``) seen most often, sorted: all down to the least count that ``most`` admits."""
+    least, held = None, 0
+    for n, size in sorted(((r["n"], r["size"]) for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("size")).collect()), reverse=True):
+        held += size
+        if held > most:
+            break
+        least = n
+    if least is None:
+        return np.zeros(0, dtype=U)
+    return np.sort(counts.where(F.col("n") >= least).select("h").toArrow().column("h").to_numpy().view(U))
+
+
+def across_pairs(own: DataFrame, c: JoinConfig, tmp: Scratch) -> DataFrame:
+    """``u, v`` of classes (or blocks) whose blocks must be joined, of seats ``h, k1, n`` with their block ``g``."""
+    sizes = own.groupBy("h", "g").agg(F.count(F.lit(1)).alias("k"))
+    met = sizes.groupBy("h").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.sum("k").alias("m"), F.max(F.struct("k", "g")).alias("top")).where("lo <> hi")
+    across = tmp.keep(met.select("h", "lo", "m", F.col("top.g").alias("main"), (F.col("m") * (F.col("m") - F.col("top.k"))).alias("cost")), "across")
+    bits = F.ceil(F.log2("cost")).cast("int")
+    spread = across.where(F.col("m") > c.pair_bucket).groupBy(bits.alias("bits")).agg(F.sum("cost").alias("cost")).collect()
+    left, most = c.pairs_per_seat * own.count() if spread else 0, -1
+    for r in sorted(spread):
+        left -= r["cost"]
+        if left < 0 or 1 << r["bits"] > c.pairs_in_bucket:
+            break
+        most = r["bits"]
+    counted = (F.col("m") <= c.pair_bucket) | (bits <= most)
+    crowded = own.join(across.where(~counted).select("h", "lo"), "h").select(F.col("g").alias("u"), F.col("lo").alias("v")).where("u <> v").distinct()
+    mixed = tmp.keep(own.join(across.where(counted).select("h", "main"), "h"), "mixed")
+    x = mixed.where("g <> main").select("h", F.col("k1").alias("x"), F.col("n").alias("xn"), F.col("g").alias("xg"))
+    y = mixed.select(F.col("h").alias("yh"), F.col("k1").alias("y"), F.col("n").alias("yn"), F.col("g").alias("yg"), (F.col("g") == F.col("main")).alias("in_main"))
+    # A pair outside of the main block is met from both sides and counts once.
+    pairs = x.join(y, (F.col("h") == F.col("yh")) & (F.col("xg") != F.col("yg")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & _alike("xn", "yn", c.percent))
+    first = F.col("x") < F.col("y")
+    ends = [F.when(first, F.col(a)).otherwise(F.col(b)).alias(name) for a, b, name in (("x", "y", "u"), ("y", "x", "v"), ("xn", "yn", "un"), ("yn", "xn", "vn"))]
+    pairs = pairs.select(*ends).groupBy("u", "v", "un", "vn").agg(F.count(F.lit(1)).alias("k"))
+    return pairs.where(F.col("k") >= _asked("un", "vn", c.percent)).select("u", "v").unionByName(crowded)
+
+
 def unit_links(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """For each set the index of the least set it is connected with, by exact overlap counts."""
     m = len(sets)
@@ -261,8 +305,8 @@ def link_documents(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFr
 
     only = docs.select("text")
     often = only.mapInArrow(lambda it: _frequent(it, c), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    often = often.orderBy(F.desc("n"), "h").limit(c.frequent_list).select("h").toArrow().column("h").to_numpy()
-    frequent = spark.sparkContext.broadcast(np.sort(often.view(U)))
+    frequent = spark.sparkContext.broadcast(_most_frequent(tmp.keep(often, "often"), c.frequent_list))
+    tmp.drop("often")
 
     seats = only.mapInArrow(lambda it: _buckets(it, c, frequent.value), "h long, k1 long, n int")
     shared = seats.repartition("h").sortWithinPartitions("h", "k1").mapInArrow(_shared, "h long, k1 long, n int, hub long, hub_n int")
@@ -275,13 +319,7 @@ def link_documents(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFr
     own = shared.select("h", "k1", "n").join(rough.withColumnsRenamed({"node": "k1", "label": "g"}), "k1", "left").withColumn("g", F.coalesce("g", "k1"))
     own = tmp.keep(own, "own")
     tmp.drop("shared")
-    across = tmp.keep(own.groupBy("h").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi").select("h", "lo", "m"), "across")
-    crowded = own.join(across.where(F.col("m") > c.pair_bucket).select("h", "lo"), "h").select(F.col("g").alias("u"), F.col("lo").alias("v")).where("u <> v").distinct()
-    mixed = tmp.keep(own.join(across.where(F.col("m") <= c.pair_bucket).select("h"), "h", "left_semi"), "mixed")
-    x, y = mixed.select("h", F.col("k1").alias("u"), F.col("n").alias("un"), F.col("g").alias("ug")), mixed.select(F.col("h").alias("yh"), F.col("k1").alias("v"), F.col("n").alias("vn"), F.col("g").alias("vg"))
-    met = x.join(y, (F.col("h") == F.col("yh")) & (F.col("u") < F.col("v")) & (F.col("ug") != F.col("vg")) & _alike("un", "vn", c.percent))
-    pairs = met.groupBy("u", "v", "un", "vn").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= _asked("un", "vn", c.percent)).select("u", "v")
-    edges = tmp.keep(pairs.unionByName(crowded).unionByName(rough.select(F.col("node").alias("u"), F.col("label").alias("v"))), "edges")
+    edges = tmp.keep(across_pairs(own, c, tmp).unionByName(rough.select(F.col("node").alias("u"), F.col("label").alias("v"))), "edges")
     tmp.drop("own", "across", "mixed", "near")
     blocks = cut(components(edges).select(F.col("node").alias("k1"), F.col("label").alias("_g")))
     tmp.drop("edges")

@@ -78,6 +78,29 @@ def test_join_is_brute_force(spark, texts, config):
     assert got == {i: (len(sets[i]), label[i]) for i in range(len(all_texts))}
 
 
+def test_join_of_crowded_blocks_is_brute_force(spark, texts):
+    config = ngram_join.JoinConfig(unit_shingles=400, frequent_in_split=1, frequent_list=50, pair_bucket=2, pairs_per_seat=0)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.link_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), config).collect()}
+    assert got == dict(enumerate(_groups(texts)))
+
+
+def test_crowded_buckets_join_no_blocks_by_chance(spark):
+    # 200 classes of their own meet a block of 100 in one bucket each, and each other in a bucket of 200: no pair has enough in common.
+    seats = [(1, k, 400, k) for k in range(200)] + [(2 + j, 1000 + i, 400, 1000) for j in range(2) for i in range(100)] + [(2 + j, k, 400, k) for j in range(2) for k in range(100 * j, 100 * j + 100)]
+    # Two classes outside of the block share all that a pair is asked for, in buckets of the block.
+    seats += [(10 + j, k, 40, k) for j in range(11) for k in (5000, 5001)] + [(10 + j, 1000 + i, 400, 1000) for j in range(11) for i in range(100)]
+    own = spark.createDataFrame(seats, "h long, k1 long, n int, g long")
+    got = {tuple(r) for r in ngram_join.across_pairs(own, ngram_join.JoinConfig(pairs_per_seat=60), ngram_join.Scratch(spark)).collect()}
+    assert got == {(5000, 5001)}
+    joined = {tuple(r) for r in ngram_join.across_pairs(own, ngram_join.JoinConfig(pairs_per_seat=0), ngram_join.Scratch(spark)).collect()}
+    assert {(k, 0) for k in range(1, 200)} <= joined and (5001, 1000) in joined and (5000, 1000) in joined
+
+
+def test_the_most_frequent_shingles_are_those_a_count_admits(spark):
+    counts = spark.createDataFrame([(h, n) for n, size in ((9, 3), (5, 4), (2, 10)) for h in range(100 * n, 100 * n + size)], "h long, n long")
+    assert [len(ngram_join._most_frequent(counts, k)) for k in (2, 3, 6, 7, 16, 17)] == [0, 3, 3, 7, 7, 17]
+
+
 def test_suffix_ranks(spark):
     rng = random.Random(1)
     strings = [[rng.randint(0, 2) for _ in range(rng.choice([1, 2, 3, 5, 9, 30]))] for _ in range(40)] + [[1] * 20, [1] * 20]
