@@ -8,8 +8,9 @@
    against the least class of each bucket, and those that share half of what is asked for make up provisional
    diagonal blocks of the product. Then the pairs across these blocks, few by now, are counted in full, and those at
    the bound join their blocks. A bucket's pairs number its seats times those outside of its main block; where that is
-   too many, for the bucket or for all of them, the blocks that meet in the bucket are joined without counting.
-   No pair that can link is left outside of a block.
+   too many, for the bucket or for all of them, nothing is counted, and the bucket's classes are a further block of
+   their own. Blocks that only meet in such a bucket stay apart: joined, they would grow into one that takes much of
+   the table. No pair that can link is left outside of a block: it meets in a crowded bucket, or all its buckets count.
 3. A block too large for one task is dealt into sub-blocks, and each pair of these is a unit of its own.
 4. Within a unit, the overlap counts of a row with all others accumulate over its n-gram columns, rarest first. Rows
    below the size bounds, or that share none of the columns that must be shared, are discarded; exact counts decide
@@ -181,8 +182,12 @@ def _most_frequent(counts: DataFrame, most: int) -> np.ndarray:
     return np.sort(counts.where(F.col("n") >= least).select("h").toArrow().column("h").to_numpy().view(U))
 
 
-def across_pairs(own: DataFrame, c: JoinConfig, tmp: Scratch) -> DataFrame:
-    """``u, v`` of classes (or blocks) whose blocks must be joined, of seats ``h, k1, n`` with their block ``g``."""
+def across_pairs(own: DataFrame, c: JoinConfig, tmp: Scratch, join: bool = True) -> DataFrame:
+    """``u, v`` of classes (or blocks) whose blocks must be joined, of seats ``h, k1, n`` with their block ``g``.
+
+    The blocks that meet in a bucket whose pairs are too many to be counted are joined as well; without ``join`` they are
+    not, and the seats ``h, k1`` of these buckets are left in the table ``crowded`` for the caller to compare.
+    """
     sizes = own.groupBy("h", "g").agg(F.count(F.lit(1)).alias("k"))
     met = sizes.groupBy("h").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.sum("k").alias("m"), F.max(F.struct("k", "g")).alias("top")).where("lo <> hi")
     across = tmp.keep(met.select("h", "lo", "m", F.col("top.g").alias("main"), (F.col("m") * (F.col("m") - F.col("top.k"))).alias("cost")), "across")
@@ -195,7 +200,9 @@ def across_pairs(own: DataFrame, c: JoinConfig, tmp: Scratch) -> DataFrame:
             break
         most = r["bits"]
     counted = (F.col("m") <= c.pair_bucket) | (bits <= most)
-    crowded = own.join(across.where(~counted).select("h", "lo"), "h").select(F.col("g").alias("u"), F.col("lo").alias("v")).where("u <> v").distinct()
+    crowded = own.join(across.where(~counted).select("h", "lo"), "h")
+    if not join:
+        tmp.keep(crowded.select("h", "k1"), "crowded")
     mixed = tmp.keep(own.join(across.where(counted).select("h", "main"), "h"), "mixed")
     x = mixed.where("g <> main").select("h", F.col("k1").alias("x"), F.col("n").alias("xn"), F.col("g").alias("xg"))
     y = mixed.select(F.col("h").alias("yh"), F.col("k1").alias("y"), F.col("n").alias("yn"), F.col("g").alias("yg"), (F.col("g") == F.col("main")).alias("in_main"))
@@ -204,7 +211,15 @@ def across_pairs(own: DataFrame, c: JoinConfig, tmp: Scratch) -> DataFrame:
     first = F.col("x") < F.col("y")
     ends = [F.when(first, F.col(a)).otherwise(F.col(b)).alias(name) for a, b, name in (("x", "y", "u"), ("y", "x", "v"), ("xn", "yn", "un"), ("yn", "xn", "vn"))]
     pairs = pairs.select(*ends).groupBy("u", "v", "un", "vn").agg(F.count(F.lit(1)).alias("k"))
-    return pairs.where(F.col("k") >= _asked("un", "vn", c.percent)).select("u", "v").unionByName(crowded)
+    pairs = pairs.where(F.col("k") >= _asked("un", "vn", c.percent)).select("u", "v")
+    return pairs.unionByName(crowded.select(F.col("g").alias("u"), F.col("lo").alias("v")).where("u <> v").distinct()) if join else pairs
+
+
+def crowded_blocks(crowded: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``k1, _g`` of the classes in crowded buckets (seats ``h, k1``) that meet others than their own block's there."""
+    seats = crowded.join(blocks, "k1", "left").withColumn("_g", F.coalesce("_g", "k1"))
+    open_ = seats.groupBy("h").agg(F.min("_g").alias("lo"), F.max("_g").alias("hi")).where("lo <> hi").select("h")
+    return seats.join(open_, "h").select("k1", F.col("h").alias("_g"))
 
 
 def unit_links(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -319,10 +334,11 @@ def link_documents(docs: DataFrame, config: JoinConfig = JoinConfig()) -> DataFr
     own = shared.select("h", "k1", "n").join(rough.withColumnsRenamed({"node": "k1", "label": "g"}), "k1", "left").withColumn("g", F.coalesce("g", "k1"))
     own = tmp.keep(own, "own")
     tmp.drop("shared")
-    edges = tmp.keep(across_pairs(own, c, tmp).unionByName(rough.select(F.col("node").alias("u"), F.col("label").alias("v"))), "edges")
+    edges = tmp.keep(across_pairs(own, c, tmp, join=False).unionByName(rough.select(F.col("node").alias("u"), F.col("label").alias("v"))), "edges")
     tmp.drop("own", "across", "mixed", "near")
     blocks = cut(components(edges).select(F.col("node").alias("k1"), F.col("label").alias("_g")))
-    tmp.drop("edges")
+    blocks = cut(blocks.unionByName(crowded_blocks(tmp.table("crowded", "h long, k1 long"), blocks)))
+    tmp.drop("edges", "crowded")
 
     members = classes.join(blocks, "k1")
     totals = members.groupBy("_g").agg(F.sum("n_shingles").alias("_all"), F.count(F.lit(1)).alias("_m")).where("_m > 1")

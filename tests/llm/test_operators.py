@@ -9,7 +9,7 @@ from conftest import SMALL, oracle_rows, rows
 from pyspark.sql import functions as F
 
 from corpusforge.llm import chat, compact_windows, decontaminate, jump, langid, mixing, ngram_join, quality, queries, style_tree, substring_exact
-from corpusforge.llm.common import Scratch
+from corpusforge.llm.common import Scratch, cut
 from corpusforge.llm.suffixes import suffix_ranks
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, _row string, shard string, _key int, target string, _offset string"
@@ -96,6 +96,26 @@ def test_crowded_buckets_join_no_blocks_by_chance(spark):
     assert {(k, 0) for k in range(1, 200)} <= joined and (5001, 1000) in joined and (5000, 1000) in joined
 
 
+def test_crowded_buckets_deal_out_no_chain_of_blocks(spark, monkeypatch):
+    # Each text has a passage in common with those of its group and one with those of the next group; none link but copies.
+    rng = random.Random(31)
+    data = [" ".join([*(f"p{k}_{i}" for i in range(16)), *(f"o{rng.random()}" for _ in range(120)), *(f"p{(k + 1) % 60}_{i}" for i in range(16))]) for k in range(60) for _ in range(3)]
+    data += [re.sub(r"^\S+", "other", t) for t in data[:4]]
+    dealt = []
+
+    def spy(df):
+        out = cut(df)
+        if "_units" in df.columns:
+            dealt.append(out.agg(F.sum(F.size("_units"))).first()[0])
+        return out
+
+    monkeypatch.setattr(ngram_join, "cut", spy)
+    config = ngram_join.JoinConfig(unit_shingles=2000, frequent_list=0, pair_bucket=2, pairs_per_seat=0)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.link_documents(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string"), config).collect()}
+    assert got == dict(enumerate(_groups(data)))
+    assert len(dealt) == 1 and dealt[0] < 1600, dealt
+
+
 def test_the_most_frequent_shingles_are_those_a_count_admits(spark):
     counts = spark.createDataFrame([(h, n) for n, size in ((9, 3), (5, 4), (2, 10)) for h in range(100 * n, 100 * n + size)], "h long, n long")
     assert [len(ngram_join._most_frequent(counts, k)) for k in (2, 3, 6, 7, 16, 17)] == [0, 3, 3, 7, 7, 17]
