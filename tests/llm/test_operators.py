@@ -354,3 +354,28 @@ def test_passages_that_the_least_text_does_not_match(spark):
     plain, salted = (sorted(map(tuple, compact_windows.find_passages(df, compact_windows.WindowConfig(hot_sample=1, hot_seen=k, salts=4)).collect())) for k in (10**9, 4))
     assert sum(any({r[1], r[4]} == {100 * k, 100 * k + 1} for r in plain) for k in range(20)) >= 19
     assert plain == salted
+
+
+def test_passages_that_no_head_of_a_group_has(spark):
+    # A line of 49 words in 60 texts is no passage; with the 14 words before it, of which one is edited, it is one of two texts.
+    rng = random.Random(41)
+    line = [f"s{i}" for i in range(49)]
+    docs = []
+    for k in range(30):
+        lead = [f"q{k}_{i}" for i in range(13)]
+        docs += [(2 * k + j, " ".join([*(f"a{rng.random()}" for _ in range(30)), *lead, f"e{rng.random()}", *line, *(f"b{rng.random()}" for _ in range(30))])) for j in range(2)]
+    got = {tuple(sorted((r["doc_id"], r["other_doc_id"]))) for r in compact_windows.find_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got <= {(2 * k, 2 * k + 1) for k in range(30)} and len(got) >= 29
+
+
+def test_every_member_of_a_group_meets_a_head():
+    rng = np.random.default_rng(3)
+    sid = np.sort(rng.integers(-50, 50, 400))
+    sketch = rng.integers(0, 128, (40, 16)).astype(np.int8)[rng.integers(0, 40, 400)]
+    heads, linked, pairs = set(), set(), []
+    for h, rows in compact_windows.group_heads(sid, sketch, 4, 6):
+        heads.add(h)
+        linked |= set(rows.tolist())
+        pairs += [tuple(sorted((h, r))) for r in rows.tolist()]
+    assert len(heads) > 4 and heads | linked == set(range(400)) and len(pairs) == len(set(pairs))
+    assert all(sid[x] != sid[y] and (sketch[x] == sketch[y]).sum() >= 6 for x, y in pairs)
