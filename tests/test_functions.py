@@ -98,3 +98,27 @@ def test_string_round_trip(spark, tmp_path):
     (tmp_path / "bad.jsonl").write_text('"ok"\n{"a": 1}\nnot json\n')
     assert [r["text"] for r in io.jsonl_strings(spark, str(tmp_path / "bad.jsonl")).collect()] == ["ok"]
     assert [json.loads(r["value"]) for r in io.jsonl_objects(spark, str(tmp_path / "bad.jsonl")).collect()] == [{"a": 1}]
+
+
+def test_cosine_edges_hold_no_tile_of_similarities(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(5)
+    m = rng.integers(-3, 4, (400, 8)).astype(np.float32) + np.float32(0.0)
+    m[:150] = m[0] + rng.integers(0, 2, (150, 8))  # a crowd, all of whose pairs are near
+    m[np.abs(m).sum(axis=1) == 0] = 1
+    df = spark.createDataFrame([(int(k), v.tolist()) for k, v in zip(rng.permutation(400), m, strict=True)] + [(400, None)], "vec_id long, embedding array<float>")
+    import duckdb
+
+    df.write.parquet(f"{tmp_path}/v")
+    sql = "SELECT a.vec_id, b.vec_id FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.4"
+    want = sorted(duckdb.sql(f"WITH v AS (FROM '{tmp_path}/v/*.parquet') {sql}").fetchall())
+    assert sorted(tuple(r) for r in vectors.cosine_edges(df, 0.4).collect()) == want == sorted(tuple(r) for r in vectors.cosine_edges(df, 0.4, 1).collect())
+    # blocks follow the table, so that a task's vectors stay as many
+    monkeypatch.setattr(vectors, "BLOCK_NUMBERS", 8 * 20)
+    placed = vectors.cosine_edges(df, 0.4)
+    assert placed.rdd.getNumPartitions() == 20 * 21 // 2 and sorted(tuple(r) for r in placed.collect()) == want
+
+
+def test_all_pairs_of_a_crowd_come_in_small_batches():
+    m = np.ones((3000, 4))
+    sizes = [len(i) for i, _ in vectors._near(np.arange(3000), m, 0, 0.4)]
+    assert sum(sizes) == 3000 * 2999 // 2 and max(sizes) <= vectors.EDGES
