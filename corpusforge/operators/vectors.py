@@ -118,11 +118,13 @@ def leaders(ids: DataFrame, edges: DataFrame) -> DataFrame:
     open_ = cut(ids.select("vec_id"))
     done = None
     while not open_.isEmpty():
-        blocked = edges.join(open_.withColumnRenamed("vec_id", "i"), "i", "left_semi").select(F.col("j").alias("vec_id")).distinct()
+        blocked = edges.select(F.col("j").alias("vec_id")).distinct()
         lead = cut(open_.join(blocked, "vec_id", "left_anti"))
         claimed = edges.join(lead.withColumnRenamed("vec_id", "i"), "i", "left_semi").groupBy(F.col("j").alias("vec_id")).agg(F.min("i").alias("leader"))
-        got = cut(lead.select("vec_id", F.col("vec_id").alias("leader")).unionByName(claimed.join(open_, "vec_id", "left_semi")))
+        got = cut(lead.select("vec_id", F.col("vec_id").alias("leader")).unionByName(claimed))
         open_ = cut(open_.join(got, "vec_id", "left_anti"))
+        # Only edges between open ids are read again; each round leaves fewer of them.
+        edges = cut(edges.join(open_.withColumnRenamed("vec_id", "i"), "i", "left_semi").join(open_.withColumnRenamed("vec_id", "j"), "j", "left_semi"))
         done = got if done is None else done.unionByName(got)
     return done if done is not None else ids.select("vec_id", F.col("vec_id").alias("leader"))
 

@@ -122,3 +122,14 @@ def test_all_pairs_of_a_crowd_come_in_small_batches():
     m = np.ones((3000, 4))
     sizes = [len(i) for i, _ in vectors._near(np.arange(3000), m, 0, 0.4)]
     assert sum(sizes) == 3000 * 2999 // 2 and max(sizes) <= vectors.EDGES
+
+
+def test_leaders_read_edges_of_open_ids_only(spark, monkeypatch):
+    edges = [(i, i + 1) for i in range(12)] + [(0, j) for j in range(20, 40)]
+    seen = []
+    monkeypatch.setattr(vectors, "cut", lambda df, real=vectors.cut: seen.append(set(df.columns) == {"i", "j"} and df.count()) or real(df))
+    ids = spark.createDataFrame([(i,) for i in range(40)], "vec_id long")
+    got = {r["vec_id"]: r["leader"] for r in vectors.leaders(ids, spark.createDataFrame(edges, "i long, j long")).collect()}
+    assert got == {i: i - i % 2 if i < 12 else 0 if i >= 20 else i for i in range(40)}
+    sizes = [n for n in seen if n is not False]
+    assert len(sizes) > 2 and sizes == sorted(sizes, reverse=True) and sizes[1] < 12 and sizes[-1] == 0
