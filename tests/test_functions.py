@@ -133,3 +133,42 @@ def test_leaders_read_edges_of_open_ids_only(spark, monkeypatch):
     assert got == {i: i - i % 2 if i < 12 else 0 if i >= 20 else i for i in range(40)}
     sizes = [n for n in seen if n is not False]
     assert len(sizes) > 2 and sizes == sorted(sizes, reverse=True) and sizes[1] < 12 and sizes[-1] == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(*[st.text(alphabet="aab é漢🤦", max_size=30)] * 2, st.integers(1, 9))
+def test_gram_jaccard_is_that_of_sets(a, b, n):
+    from corpusforge.operators.pairs import gram_jaccard
+
+    x, y = ({t} if len(t) < n else {t[i : i + n] for i in range(len(t) - n + 1)} for t in (a, b))
+    assert gram_jaccard(a, b, n) == len(x & y) / len(x | y)
+
+
+def test_gram_jaccard_of_many_letters():
+    from corpusforge.operators.pairs import gram_jaccard
+
+    a, b = "".join(map(chr, range(0x4E00, 0x7000))) * 2, "".join(map(chr, range(0x5000, 0x9000)))
+    x, y = ({t[i : i + 8] for i in range(len(t) - 7)} for t in (a, b))
+    assert gram_jaccard(a, b, 8) == len(x & y) / len(x | y)
+
+
+def test_next_jaccard_over_range_ends(spark, duck, tmp_path):
+    from corpusforge.operators.pairs import next_jaccard
+    from corpusforge.plans import catalogue
+
+    words = ["alpha beta", "gamma delta", "", "short", None, "漢字 alpha beta"]
+    rows = [(i, [None, "x", "y"][i % 3 if i % 7 else 1], None if words[i % 6] is None else words[i % 6] + " same end of all texts" * (i % 2)) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4)
+    df.write.parquet(f"{tmp_path}/d")
+    want = duck.execute(catalogue.ORACLES["h7_jaccard_pairs"].replace("FROM documents", f"FROM '{tmp_path}/d/*.parquet'")).fetchall()
+    for parts in ("1", "7"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got = [tuple(r) for r in next_jaccard(df, "source").collect()]
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        key = lambda r: (r[0], r[1] is None, r[1])
+        assert sorted(got, key=key) == sorted(want, key=key)
