@@ -172,3 +172,33 @@ def test_next_jaccard_over_range_ends(spark, duck, tmp_path):
             spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         key = lambda r: (r[0], r[1] is None, r[1])
         assert sorted(got, key=key) == sorted(want, key=key)
+
+
+def test_minhash_stays_in_cache_and_divides_right():
+    import tracemalloc
+
+    a, b = numeric.permutations(256)
+    h = np.random.default_rng(1).integers(0, 1 << 32, 20_000, dtype=np.uint64)
+    tracemalloc.start()
+    got = numeric.minhash(h, a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 << 20
+    k = [int(v) for v in h[:300]]
+    prime = (1 << 61) - 1
+    want = lambda p, q: min((((v * int(p) + int(q)) % (1 << 64)) % prime) & 0xFFFFFFFF for v in k)
+    assert numeric.minhash(h[:300], a, b).tolist() == [want(p, q) for p, q in zip(a, b, strict=True)] and (got <= numeric.minhash(h[:300], a, b)).all()
+    edge = np.array([1, prime, prime - 1, prime], dtype=np.uint64), np.array([prime, prime - 1, prime, 3 * prime], dtype=np.uint64)
+    k = [1]
+    assert numeric.minhash(np.array([1], dtype=np.uint64), *edge).tolist() == [want(p, q) for p, q in zip(*edge, strict=True)]
+
+
+def test_signatures_take_few_texts_at_once(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, 10_000)
+    try:
+        near_dup.signatures(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), 8)
+        assert int(spark.conf.get(key)) <= 1000
+    finally:
+        spark.conf.set(key, was)
