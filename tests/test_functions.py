@@ -202,3 +202,18 @@ def test_signatures_take_few_texts_at_once(spark):
         assert int(spark.conf.get(key)) <= 1000
     finally:
         spark.conf.set(key, was)
+
+
+@pytest.mark.parametrize("read", ["html_paragraphs", "html_text"])
+def test_pages_are_read_few_at_once(spark, read):
+    from corpusforge.operators import html
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, 10_000)
+    try:
+        got = spark.range(3000).coalesce(1).select(getattr(html, read)(F.concat(F.lit("<p>a &amp;lt;"), F.col("id").cast("string"))).alias("t"))
+        assert int(spark.conf.get(key)) <= 1000
+        assert {r["t"] for r in got.collect()} == {("a &lt;" if read == "html_paragraphs" else "a <") + str(i) for i in range(3000)}
+    finally:
+        spark.conf.set(key, was)
