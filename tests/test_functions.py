@@ -217,3 +217,35 @@ def test_pages_are_read_few_at_once(spark, read):
         assert {r["t"] for r in got.collect()} == {("a &lt;" if read == "html_paragraphs" else "a <") + str(i) for i in range(3000)}
     finally:
         spark.conf.set(key, was)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_packing_over_range_ends(spark, parts):
+    """Blocks that many partitions share, keys that end inside one, empty and null documents."""
+    rng = np.random.default_rng(parts)
+    rows = [(["a", None, "b", "c"][min(i // 60, 3)], i, None if i % 11 == 0 else [i * 100 + j for j in range(int(rng.integers(0, 9)) * (7 if i % 29 == 0 else 1))]) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, doc_id long, toks array<long>").repartition(5)
+    want = {}
+    for size in (1, 4, 50):
+        for k in {r[0] for r in rows}:
+            flat = [t for r in sorted(rows, key=lambda r: r[1]) if r[0] == k for t in r[2] or []]
+            want |= {(size, k, b): flat[b * size : (b + 1) * size] for b in range(len(flat) // size)}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = [((size, r["k"], r["block"]), r["tokens"]) for size in (1, 4, 50) for r in packing.pack(df, F.col("toks"), size, ["k"], ["doc_id"]).collect()]
+        placed = sorted((r["idx"], r["doc_id"]) for r in with_index(df, ["doc_id"]).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == len(want) and dict(got) == want
+    assert placed == [(i, i) for i in range(200)]
+
+
+def test_packing_shuffles_texts_once(spark, tmp_path):
+    df = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("a").alias("k"), F.array(F.col("id")).alias("toks"))
+    packed = packing.pack(df, F.col("toks"), 4, ["k"], ["doc_id"])
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan  # what is left after the one cut is a single pass
+    assert packed.count() == 75
