@@ -9,7 +9,8 @@ from corpusforge.operators import dialogs as D
 from corpusforge.operators import records as R
 from corpusforge.operators import templates as I
 from corpusforge.operators import vectors as V
-from corpusforge.operators.ordering import spread, with_index
+from corpusforge.operators.ordering import with_index
+from corpusforge.operators.packing import arranged
 from corpusforge.plans.catalogue import _CHAT, _TOK, _any, query, table
 from corpusforge.plans.recipes import RECIPES, blocks, combine
 
@@ -149,5 +150,5 @@ def t7_model_columns(spark, sf_dir):
 def e2_recipe_blocks(spark, sf_dir):
     """The chunks and blocks of one family's recipe."""
     recipe = RECIPES["llama-v1"]
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    return blocks(combine(docs, recipe), recipe).select("source", "block", F.array_join("tokens", " ").alias("text"))
+    docs = arranged(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), ["source"], ["doc_id"])
+    return blocks(combine(docs, recipe), recipe, is_arranged=True).select("source", "block", F.array_join("tokens", " ").alias("text"))

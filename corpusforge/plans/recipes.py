@@ -48,17 +48,19 @@ RECIPES = {
 
 def combine(docs: DataFrame, recipe: Recipe) -> DataFrame:
     """``doc_id, source, pos, text``: cleaned documents between sentinels, without exam papers, in chunks."""
-    wrapped = T.clean_documents(docs.select("doc_id", "source", "text")).withColumn("text", F.concat(F.lit(recipe.bos), "text", F.lit(recipe.eos)))
-    kept = wrapped.where(~T.contains_any(F.lower("text"), T.EXAM_PHRASES))
-    return kept.select("doc_id", "source", F.posexplode(T.chunks(F.col("text"), recipe.chunk_words)).alias("pos", "text"))
+    # One array element each: a filter on the text, or one that Spark infers from an inner explode, would clean it again.
+    wrapped = F.array(F.concat(F.lit(recipe.bos), T.clean(F.col("text")), F.lit(recipe.eos)))
+    kept = F.filter(wrapped, lambda t: T.let(F.lower(t), lambda low: ~T.contains_any(low, T.EXAM_PHRASES)))
+    texts = docs.select("doc_id", "source", F.explode_outer(kept).alias("text")).where("text IS NOT NULL")
+    return texts.select("doc_id", "source", F.posexplode_outer(T.chunks(F.col("text"), recipe.chunk_words)).alias("pos", "text")).where("pos IS NOT NULL")
 
 
-def blocks(chunks: DataFrame, recipe: Recipe, tokenizer: str | None = None) -> DataFrame:
+def blocks(chunks: DataFrame, recipe: Recipe, tokenizer: str | None = None, is_arranged: bool = False) -> DataFrame:
     """``source, block, tokens``: ids of a tokenizer file, or words where none is given, in full blocks per source."""
     if tokenizer is None:
-        return pack(chunks, T.tokens(F.col("text")), recipe.block, ["source"], ["doc_id", "pos"])
+        return pack(chunks, T.tokens(F.col("text")), recipe.block, ["source"], ["doc_id", "pos"], is_arranged)
     special = tuple(dict.fromkeys(s for s in (recipe.bos, recipe.eos) if s)) if tokenizer.endswith(".json") else ()
-    packed = pack(chunks, tokenizers.encode(F.col("text"), tokenizer, special), recipe.block, ["source"], ["doc_id", "pos"])
+    packed = pack(chunks, tokenizers.encode(F.col("text"), tokenizer, special), recipe.block, ["source"], ["doc_id", "pos"], is_arranged)
     return packed.withColumn("tokens", F.transform("tokens", lambda i: checked_cast(i, recipe.id_bits).cast("int")))
 
 
