@@ -134,3 +134,18 @@ def test_recipe_runs(spark, tmp_path, tokenizer):
     name = "llama-v1" if tokenizer else "mistral"
     out = recipes.blocks(spark.read.parquet(f"{tmp_path}/chunks"), recipes.RECIPES[name], tokenizer).collect()
     assert out and all(len(r["tokens"]) == recipes.RECIPES[name].block for r in out)
+
+
+@pytest.mark.parametrize("name", ["e1_pipeline", "e2_recipe_blocks"])
+def test_texts_are_cleaned_once(spark, monkeypatch, name):
+    """No plan before the first cut of packing holds the cleaning twice, as a filter does that goes before the shuffle."""
+    from conftest import SMALL
+
+    from corpusforge.operators import packing
+    from corpusforge.plans.instructions import query  # noqa: F401  (registers the recipe)
+    from corpusforge.plans.catalogue import QUERIES
+
+    plans = []
+    monkeypatch.setattr(packing, "cut", lambda df, real=packing.cut: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df))
+    assert QUERIES[name](spark, SMALL).count() > 0
+    assert [p.count("{6,}") for p in plans] == [2]  # one run of blanks and one of dots
