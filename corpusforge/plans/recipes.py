@@ -58,7 +58,7 @@ def combine(docs: DataFrame, recipe: Recipe) -> DataFrame:
 def blocks(chunks: DataFrame, recipe: Recipe, tokenizer: str | None = None, is_arranged: bool = False) -> DataFrame:
     """``source, block, tokens``: ids of a tokenizer file, or words where none is given, in full blocks per source."""
     if tokenizer is None:
-        return pack(chunks, T.tokens(F.col("text")), recipe.block, ["source"], ["doc_id", "pos"], is_arranged)
+        return pack(chunks, T.tokens(F.col("text")), recipe.block, ["source"], ["doc_id", "pos"], is_arranged, words=True)
     special = tuple(dict.fromkeys(s for s in (recipe.bos, recipe.eos) if s)) if tokenizer.endswith(".json") else ()
     packed = pack(chunks, tokenizers.encode(F.col("text"), tokenizer, special), recipe.block, ["source"], ["doc_id", "pos"], is_arranged)
     return packed.withColumn("tokens", F.transform("tokens", lambda i: checked_cast(i, recipe.id_bits).cast("int")))

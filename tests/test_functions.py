@@ -235,11 +235,14 @@ def test_packing_over_range_ends(spark, parts):
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
         got = [((size, r["k"], r["block"]), r["tokens"]) for size in (1, 4, 50) for r in packing.pack(df, F.col("toks"), size, ["k"], ["doc_id"]).collect()]
+        as_words = F.transform("toks", lambda x: x.cast("string"))
+        spelled = [((size, r["k"], r["block"]), [int(t) for t in r["tokens"]]) for size in (1, 50) for r in packing.pack(df, as_words, size, ["k"], ["doc_id"], words=True).collect()]
         placed = sorted((r["idx"], r["doc_id"]) for r in with_index(df, ["doc_id"]).collect())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(got) == len(want) and dict(got) == want
+    assert len(spelled) == len(dict(spelled)) and dict(spelled) == {k: v for k, v in want.items() if k[0] != 4}
     assert placed == [(i, i) for i in range(200)]
 
 
@@ -249,3 +252,13 @@ def test_packing_shuffles_texts_once(spark, tmp_path):
     plan = packed._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan  # what is left after the one cut is a single pass
     assert packed.count() == 75
+
+
+def test_words_are_kept_as_one_string(spark, monkeypatch):
+    kinds = []
+    monkeypatch.setattr(packing, "cut", lambda df, real=packing.cut: kinds.append(df.schema["_tokens"].dataType.simpleString()) or real(df))
+    df = spark.createDataFrame([("a", 1, "x y z"), ("a", 2, " "), ("a", 3, None), ("a", 4, "q")], "k string, doc_id long, text string")
+    from corpusforge.functions.text import tokens
+
+    got = packing.pack(df, tokens(F.col("text")), 2, ["k"], ["doc_id"], words=True).collect()
+    assert sorted((r["block"], *r["tokens"]) for r in got) == [(0, "x", "y"), (1, "z", "q")] and kinds == ["string"]
